@@ -284,6 +284,15 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         FROM cp WHERE {days(180)} GROUP BY 1, 2)""",
         ("cp",),
     ),
+    "allweeks": (
+        f"""
+  SELECT *, {ratio('cost', 'clicks')} AS cpc, {pct('clicks', 'impressions')} AS ctr, {ratio('cost', 'conversions')} AS cpa
+  FROM (SELECT CAST(date_trunc('week', report_date) AS DATE) AS week_start, campaign_id, {isum('total_impressions')} AS impressions,
+               {isum('total_clicks')} AS clicks, SUM(total_cost) AS cost, {isum('total_conversions')} AS conversions,
+               {avg('ctr_percent')} AS avg_ctr, {avg('avg_cpc')} AS avg_cpc
+        FROM cp GROUP BY 1, 2)""",
+        ("cp",),
+    ),
     "daily": (
         f"""
   SELECT report_date, campaign_id, COUNT(DISTINCT creative_id) AS total_creatives, {isum('total_impressions')} AS impressions,

@@ -15,7 +15,13 @@ from ..operators import decisions, metrics, models, reports, training
 from ..operators.aggregates import creative_metadata, daily_aggregates, weekly_summaries
 from ..operators.views import creative_performance
 from ..settings import Thresholds
-from ..sources.sinks import append_actions, write_creative_metadata, write_partitioned, write_training_set
+from ..sources.sinks import (
+    append_actions,
+    with_period,
+    write_creative_metadata,
+    write_partitioned,
+    write_training_set,
+)
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
@@ -24,17 +30,18 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def store_daily(df: DataFrame, path: str) -> DataFrame:
-    """Writes ``df`` by report date; filters on the date then read only its days."""
-    write_partitioned(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def store_daily(df: DataFrame, path: str, unit: str = "day") -> DataFrame:
+    """Writes a daily view by period; filters on ``period`` then read only its days or months."""
+    write_partitioned(with_period(df, "report_date", unit), path, "period")
+    return df.sparkSession.read.parquet(path)
 
 
 def run_processing(
-    spark: SparkSession, elements: DataFrame, content: DataFrame, root: str, as_of: date, at: datetime
+    spark: SparkSession, elements: DataFrame, content: DataFrame, root: str, as_of: date, at: datetime,
+    unit: str = "day",
 ) -> DataFrame:
     """Training sets, dashboard aggregates, and the metric rows describing them."""
-    cp = store_daily(creative_performance(elements), f"{root}/creative_performance")
+    cp = store_daily(creative_performance(elements), f"{root}/creative_performance", unit).drop("period")
     creative_paths = write_training_set(
         training.creative_training_set(cp, content, as_of), root, "creative_scoring", at
     )
@@ -96,7 +103,7 @@ def run_training(
 ) -> int:
     """Fits on the training part, evaluates on both parts and publishes the next version."""
     train, test = models.split(prepared, *keys)
-    model = pipeline.fit(train)
+    model = models.fit(pipeline, train)
     scored = {
         part: models.evaluate(model.transform(rows), target).first().asDict()
         for part, rows in (("train", train), ("test", test))

@@ -1084,7 +1084,7 @@ def forest(s, d):
         prepared, features = training.prepare_creative(creative_set(s, d))
         rows = jobs.store(prepared, shared_dir(s, "creative_features"))
         train, test = models.split(rows, "creative_id")
-        return models.creative_scorer(rows, features).fit(train), train, test, features
+        return models.fit(models.creative_scorer(rows, features), train), train, test, features
 
     return _once("forest", s, d, make)
 
@@ -1099,7 +1099,7 @@ def boosted(s, d):
         prepared, features = training.prepare_bids(training.bid_features(bid_set(s, d)))
         rows = jobs.store(prepared, shared_dir(s, "bid_features"))
         train, test = models.split(rows, *BID_KEYS)
-        return models.bid_model(rows, features).fit(train), train, test, features
+        return models.fit(models.bid_model(rows, features), train), train, test, features
 
     return _once("boosted", s, d, make)
 
@@ -1164,8 +1164,16 @@ add(
 
 def ingested(s, d):
     """The raw documents through the streaming ingest; its daily view must equal the batch view."""
-    store = ingest.run_ingest(s, written_raw(s, d), shared_dir(s, "store"), shared_dir(s, "progress"), multi_line=False)
-    return store.table("creative_performance")
+    store = ingest.Store(s, shared_dir(s, "store"), unit="month")
+    ingest.run_ingest(store, written_raw(s, d), shared_dir(s, "progress"), multi_line=False)
+    return store.table("creative_performance").drop("period")
+
+
+def ingested_weekly(s, d):
+    """The weekly table the ingest keeps, for the weeks that lie in the last 180 days as a whole."""
+    store = ingest.Store(s, shared_dir(s, "store"), unit="month")
+    ingest.run_ingest(store, written_raw(s, d), shared_dir(s, "progress"), multi_line=False)
+    return store.table("weekly").drop("period")
 
 
 def event_windows(s, d):
@@ -1208,6 +1216,7 @@ def event_transitions(s, d):
 
 
 add("r01_r07_incremental_ingest", ingested, o.sql("SELECT * FROM cp", "cp"))
+add("r07_weekly_refresh", ingested_weekly, o.sql("SELECT * FROM allweeks", "allweeks"))
 add("r02_metric_windows", event_windows, o.sql("SELECT * FROM roll", "roll"))
 add(
     "r02_metric_rollup_daily",

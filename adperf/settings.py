@@ -59,3 +59,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = os.path.join(tempfile.gettempdir(), "adperf")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Iterative fits cut their lineage by checkpoints; the cluster's folder is used where one is set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(
+            spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark, "checkpoints")
+        )

@@ -51,8 +51,7 @@ def read_raw(
 
 def _read_any_case(spark: SparkSession, path, multi_line: bool) -> DataFrame:
     """Lower-cases the keys in the text before parsing with the lower-case twin of the schema."""
-    reader = spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True)
-    text = reader.text(path)
+    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=multi_line)
     twin = _swap_case_twins(RAW, lower=True)
     parsed = F.from_json(lower_keys(F.col("value")), twin, {"mode": "PERMISSIVE"})
     doc = text.select(parsed.cast(RAW).alias("doc"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def write_training_set(df: DataFrame, root: str, dataset: str, at: datetime) -> dict[str, str]:
@@ -24,6 +24,17 @@ def write_training_set(df: DataFrame, root: str, dataset: str, at: datetime) ->
     return paths
 
 
+def period_of(day, unit: str) -> Column:
+    """The partition a day belongs to: the day itself or the first day of its month."""
+    day = F.col(day) if isinstance(day, str) else day
+    return day if unit == "day" else F.trunc(day, unit)
+
+
+def with_period(df: DataFrame, day: str, unit: str) -> DataFrame:
+    """Adds the partition column: days for large volumes, months where a day would be a tiny file."""
+    return df.withColumn("period", period_of(day, unit))
+
+
 def write_partitioned(df: DataFrame, path: str, key: str = "report_date") -> None:
     """Replaces only the partitions present in ``df``; a repeated write leaves the same table.
 

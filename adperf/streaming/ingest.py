@@ -4,27 +4,27 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.dates import instant
+from ..functions.dates import instant, week_start
 from ..operators.aggregates import daily_aggregates, weekly_summaries
 from ..operators.views import creative_performance
 from ..sources.raw import explode_elements
 from ..sources.schema import ELEMENT_COLUMNS, RAW
-from ..sources.sinks import write_partitioned
+from ..sources.sinks import period_of, with_period, write_partitioned
 
 ELEMENTS_SCHEMA = (
     "report_date date, pulled_ts timestamp, campaign_id string, campaign_name string, campaign_status string, "
     "daily_budget double, unit_cost double, creative_id string, impressions bigint, clicks bigint, cost double, "
-    "conversions bigint, unique_impressions bigint, part int, batch_id bigint"
+    "conversions bigint, unique_impressions bigint, part int, period date, batch_id bigint"
 )
 
 
 class Store:
-    """Folders of the element table and of the tables derived from it."""
+    """The element table and the tables derived from it, partitioned by day or by month."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, unit: str = "day"):
+        self.spark, self.root, self.unit = spark, root.rstrip("/"), unit
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -39,6 +39,17 @@ class Store:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def after(self, period: date) -> date:
+        """The first day after the period."""
+        if self.unit == "day":
+            return period + timedelta(days=1)
+        return (period + timedelta(days=32)).replace(day=1)
+
+
+def one_of(column: str, days: list[date]) -> Column:
+    """``column IN (days)`` as one expression, which prunes partitions."""
+    return F.expr(f"{column} IN ({', '.join(f'DATE {chr(39)}{d}{chr(39)}' for d in days)})")
+
 
 def stream_raw(spark: SparkSession, path: str, multi_line: bool = True, files_per_batch: int | None = None) -> DataFrame:
     """New raw documents below ``path`` as a stream."""
@@ -63,77 +74,104 @@ def without_redelivery(raw_stream: DataFrame, delay: str = "1 day") -> DataFrame
     return timed.dropDuplicatesWithinWatermark(["campaign_id", "pulled_at", "part"])
 
 
-def touched_dates(rows: DataFrame) -> list[date]:
-    """The report dates in ``rows``; at most one value per calendar day reaches the driver."""
-    return sorted(r[0] for r in rows.select("report_date").distinct().collect() if r[0] is not None)
+def touched_periods(rows: DataFrame) -> list[date]:
+    """Periods of staged rows; at most one value per calendar day reaches the driver."""
+    return sorted(r[0] for r in rows.select("period").distinct().collect() if r[0] is not None)
 
 
 def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date]:
-    """Adds the batch's documents that are not stored yet; returns the dates it touches.
+    """Adds the batch's documents that are not stored yet; returns the periods it touches.
 
-    The batch owns its ``batch_id`` partitions and replaces them when it is run again, and it
-    compares with other batches only, so a repeat after a failure leaves the same table.
+    The batch is parsed once into a staging table that the next batch overwrites. It owns its
+    ``batch_id`` partitions and replaces them when it is run again, and it compares with other
+    batches only, so a repeat after a failure leaves the same table.
     """
-    keyed = documents.withColumn("report_date", F.to_date(instant("pulled_at")))
-    dates = touched_dates(keyed)
-    if not dates:
-        return []
     fresh = documents.dropDuplicates(["campaign_id", "pulled_at", "part"])
-    rows = explode_elements(fresh)
+    columns = [*ELEMENT_COLUMNS, "part", "period"]
+    parsed = with_period(explode_elements(fresh), "report_date", store.unit).select(*columns)
+    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(store.path("staging"))
+    rows = store.spark.read.schema(parsed.schema).parquet(store.path("staging"))
+    periods = touched_periods(rows)
+    if not periods:
+        return []
     if store.exists("elements"):
-        known = (
-            store.elements()
-            .filter(F.col("report_date").isin(dates) & (F.col("batch_id") != batch_id))
-            .select("report_date", "campaign_id", "pulled_ts", F.coalesce("part", F.lit(-1)).alias("piece"))
-            .distinct()
-        )
-        keys = ["report_date", "campaign_id", "pulled_ts", "piece"]
-        rows = rows.withColumn("piece", F.coalesce("part", F.lit(-1))).join(known, keys, "left_anti")
-    out = rows.select(*ELEMENT_COLUMNS, "part").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        keys = ["period", "campaign_id", "pulled_ts", "piece"]
+        piece = F.coalesce("part", F.lit(-1))
+        stored = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != batch_id))
+        known = stored.withColumn("piece", piece).select(*keys).distinct()
+        rows = rows.withColumn("piece", piece).join(known, keys, "left_anti")
+    out = rows.select(*columns).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
-        out.hint("rebalance", "report_date")
+        out.hint("rebalance", "period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_date", "batch_id")
+        .partitionBy("period", "batch_id")
         .parquet(store.path("elements"))
     )
-    return dates
+    return periods
 
 
-def refresh(store: Store, dates: list[date]) -> None:
-    """Recomputes the daily views of ``dates`` and the weeks they lie in, and replaces only those.
+def refresh(store: Store, periods: list[date]) -> None:
+    """Recomputes the daily views of ``periods`` and the weeks they reach into; replaces only those.
 
-    Only the partitions of these dates are read from the element table; weeks are built from the
+    Only the partitions of these periods are read from the element table; weeks are built from the
     stored daily view.
     """
-    if not dates:
+    if not periods:
         return
-    days = store.elements().filter(F.col("report_date").isin(dates))
-    write_partitioned(creative_performance(days), store.path("creative_performance"))
+    days = store.elements().filter(one_of("period", periods))
+    write_partitioned(
+        with_period(creative_performance(days), "report_date", store.unit), store.path("creative_performance"), "period"
+    )
     daily = store.table("creative_performance")
-    write_partitioned(daily_aggregates(daily.filter(F.col("report_date").isin(dates))), store.path("daily"))
-    mondays = sorted({d - timedelta(days=d.weekday()) for d in dates})
-    week_days = [m + timedelta(days=i) for m in mondays for i in range(7)]
-    weeks = weekly_summaries(daily.filter(F.col("report_date").isin(week_days)))
-    write_partitioned(weeks, store.path("weekly"), "week_start")
+    touched = daily_aggregates(daily.filter(one_of("period", periods)))
+    write_partitioned(with_period(touched, "report_date", store.unit), store.path("daily"), "period")
+    write_partitioned(_weeks(store, daily, periods), store.path("weekly"), "period")
+
+
+def _weeks(store: Store, daily: DataFrame, periods: list[date]) -> DataFrame:
+    """Whole weekly partitions for every week that has a day in ``periods``."""
+
+    def start_of(day: date) -> date:
+        return day if store.unit == "day" else day.replace(day=1)
+
+    def monday(day: date) -> date:
+        return day - timedelta(days=day.weekday())
+
+    mondays = set()
+    for p in periods:
+        m = monday(p)
+        while m < store.after(p):
+            mondays.add(m)
+            m += timedelta(days=7)
+    weekly_periods = sorted({start_of(m) for m in mondays})
+    # A weekly partition holds all weeks starting in it, so it needs the days up to six after its end.
+    needed = set()
+    for p in weekly_periods:
+        end = store.after(p) + timedelta(days=6)
+        day = p
+        while day < end:
+            needed.add(start_of(day))
+            day += timedelta(days=1)
+    rows = daily.filter(one_of("period", sorted(needed)))
+    in_week = one_of("week_period", weekly_periods)
+    rows = rows.withColumn("week_period", period_of(week_start("report_date"), store.unit)).filter(in_week)
+    return with_period(weekly_summaries(rows), "week_start", store.unit)
 
 
 def run_ingest(
-    spark: SparkSession, raw_path: str, store_root: str, checkpoint: str, multi_line: bool = True,
-    files_per_batch: int | None = None,
-) -> Store:
+    store: Store, raw_path: str, checkpoint: str, multi_line: bool = True, files_per_batch: int | None = None
+) -> None:
     """Processes the documents that arrived since the last run, then stops."""
-    store = Store(spark, store_root)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         refresh(store, append_batch(store, batch, batch_id))
 
     query = (
-        stream_raw(spark, raw_path, multi_line, files_per_batch)
+        stream_raw(store.spark, raw_path, multi_line, files_per_batch)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return store
