@@ -24,14 +24,12 @@ CTA_WORDS = [
     ("quote", ["quote", "estimate", "pricing"]),
 ]
 
-# Character classes written out, because \s, \d and \b differ between regex engines.
-WORD = r"[^\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+# Patterns with Unicode meaning: blanks are all Unicode blanks and the four separators 1C-1F.
+WORD = r"(?U)[\S&&[^\x1C-\x1F]]++"
 SENTENCE_END = r"[.!?]+"
 DIGIT = r"\p{Nd}"
-NON_ASCII = r"[^\x{0}-\x{7F}]"
-UPPERCASE = (
-    r"[\p{Lu}\x{2160}-\x{216F}\x{24B6}-\x{24CF}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}]"
-)
+UPPERCASE = r"\p{IsUppercase}"
+CAPITALS = r"[A-Z][A-Z]"
 ALL_CAPS_WORD = r"(^|[^\p{L}\p{N}_])[A-Z]{2,}($|[^\p{L}\p{N}_])"
 
 HEADLINE_LIMIT = 70
@@ -62,10 +60,14 @@ def combined_text(headline, description) -> Column:
     return F.concat(F.coalesce(as_column(headline), empty), F.lit(" "), F.coalesce(as_column(description), empty))
 
 
-def text_features(text) -> dict[str, Column]:
-    """The 25 features, keyed by column name; all NULL for missing or empty text."""
-    t = F.nullif(as_column(text), F.lit(""))
-    low = F.lower(t)
+def text_features(text, lowered=None) -> dict[str, Column]:
+    """The 25 features, keyed by column name; all NULL for missing or empty text.
+
+    ``text`` must be NULL where empty and ``lowered`` its lower case; ``add_text_features`` supplies
+    both as columns.
+    """
+    t = as_column(text)
+    low = F.lower(t) if lowered is None else as_column(lowered)
     features = {
         "word_count": F.regexp_count(t, F.lit(WORD)),
         "char_count": F.length(t),
@@ -75,9 +77,11 @@ def text_features(text) -> dict[str, Column]:
         "has_dollar": t.contains("$"),
         "has_question": t.contains("?"),
         "has_exclamation": t.contains("!"),
-        "has_emoji": t.rlike(NON_ASCII),
+        # More bytes than characters: some character is not ASCII.
+        "has_emoji": F.octet_length(t) != F.length(t),
         "uppercase_ratio": F.regexp_count(t, F.lit(UPPERCASE)).cast("double") / F.length(t),
-        "has_all_caps_word": t.rlike(ALL_CAPS_WORD),
+        # The cheap pattern first; most text has no two capitals in a row.
+        "has_all_caps_word": t.rlike(CAPITALS) & t.rlike(ALL_CAPS_WORD),
     }
     for word in MENTION_WORDS:
         features[f"mention_{word}"] = low.contains(word)
@@ -107,21 +111,29 @@ BASIC_FEATURE_NAMES = [
 ]
 
 
-def basic_text_features(text) -> dict[str, Column]:
-    """14 features; here ``mention_data`` is the single word and empty text has ratio 0."""
-    t = as_column(text)
-    features = text_features(text)
-    picked = {name: features[name] for name in BASIC_FEATURE_NAMES}
-    picked["mention_data"] = F.lower(F.nullif(t, F.lit(""))).contains("data")
-    zero = {"word_count": 0, "char_count": 0, "uppercase_ratio": 0.0}
-    return {
-        name: F.when(t == "", F.lit(zero.get(name, False))).otherwise(column) for name, column in picked.items()
-    }
+def _with_text(df: DataFrame, text) -> DataFrame:
+    """Adds the text (NULL where empty) and its lower case as columns.
+
+    Features refer to these columns: an expression repeated in every branch of a CASE would be
+    computed again in each.
+    """
+    t = F.nullif(as_column(text), F.lit(""))
+    return df.withColumns({"_text": t, "_lower": F.lower(t)})
 
 
 def add_text_features(df: DataFrame, text: str, names=None) -> DataFrame:
-    features = text_features(text)
-    return df.withColumns({n: features[n] for n in (names or FEATURE_NAMES)})
+    features = text_features("_text", "_lower")
+    return _with_text(df, text).withColumns({n: features[n] for n in (names or FEATURE_NAMES)}).drop("_text", "_lower")
+
+
+def add_basic_features(df: DataFrame, text: str) -> DataFrame:
+    """14 features; here ``mention_data`` is the single word, and empty text has counts and ratio 0."""
+    features = text_features("_text", "_lower")
+    features["mention_data"] = F.col("_lower").contains("data")
+    zero = {"word_count": 0, "char_count": 0, "uppercase_ratio": 0.0}
+    empty = as_column(text) == ""
+    columns = {n: F.when(empty, F.lit(zero.get(n, False))).otherwise(features[n]) for n in BASIC_FEATURE_NAMES}
+    return _with_text(df, text).withColumns(columns).drop("_text", "_lower")
 
 
 def money(x) -> Column:

@@ -95,16 +95,19 @@ def evaluate(periods: DataFrame) -> DataFrame:
     breach. The window sorts one alarm's periods: their number is elapsed time over period length,
     whatever the number of metric rows.
     """
-    settings = ["alarm", "stat", "period", "op", "threshold", "periods", "missing"]
-    bounds = periods.groupBy(*settings).agg(
-        F.min("period_start").alias("first"), F.max("period_start").alias("last")
+    order = Window.partitionBy("alarm").orderBy("period_start")
+    # Each period with data fills the gap up to the next one.
+    start, following = F.unix_timestamp("period_start"), F.unix_timestamp(F.lead("period_start").over(order))
+    until = F.coalesce(F.col("following") - F.col("period"), F.col("start"))
+    filled = periods.withColumns({"start": start, "following": following}).withColumn(
+        "second", F.explode(F.sequence("start", until, "period"))
     )
-    steps = F.sequence(F.unix_timestamp("first"), F.unix_timestamp("last"), F.col("period"))
-    spine = bounds.select(*settings, F.explode(steps).alias("second")).withColumn(
-        "period_start", F.timestamp_seconds("second")
+    seen = filled.withColumns(
+        {
+            "period_start": F.timestamp_seconds("second"),
+            "value": F.when(F.col("second") == F.col("start"), F.col("value")),
+        }
     )
-    seen = spine.join(periods.select("alarm", "period_start", "value"), ["alarm", "period_start"], "left")
-    order = Window.partitionBy("alarm").orderBy("period_start")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = seen.withColumns(
         {"breach": F.coalesce(_breaches(F.col("value")), F.lit(False)), "nr": F.row_number().over(order)}

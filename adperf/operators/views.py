@@ -98,10 +98,12 @@ def latest_pull(elements: DataFrame, day: str = "report_date") -> DataFrame:
     """
     keys = [day, "campaign_id", "creative_id"]
     per_pull = measured(elements).groupBy(*keys, "pulled_ts").agg(*_sums(SUMS, "total_"))
-    values = [c for c in per_pull.columns if c not in keys]
-    last = per_pull.groupBy(*keys).agg(F.max_by(F.struct(*values), "pulled_ts").alias("last"))
-    flat = last.select(F.col(day).alias("report_date"), "campaign_id", "creative_id", "last.*")
-    return with_creative_ratios(flat)
+    values = [c for c in per_pull.columns if c not in (*keys, "pulled_ts")]
+    # One max_by per number: buffers of fixed length stay in the hash aggregate, a struct would sort.
+    last = per_pull.groupBy(*keys).agg(
+        F.max("pulled_ts").alias("pulled_ts"), *[F.max_by(v, "pulled_ts").alias(v) for v in values]
+    )
+    return with_creative_ratios(last.withColumnRenamed(day, "report_date"))
 
 
 def pull_date_rows(elements: DataFrame) -> DataFrame:

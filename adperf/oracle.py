@@ -9,10 +9,21 @@ from datetime import date, timedelta
 
 from .functions import text as tx
 from .operators.alarms import Alarm
-from .settings import AS_OF, EVENTS_AS_OF
+from .settings import AS_OF
 from .sources.tables import CTA_PHRASES
 
 
+# Character classes written out, because \s, \d and \b differ between regex engines.
+WORD = r"[^\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+SENTENCE_END = r"[.!?]+"
+DIGIT = r"\p{Nd}"
+NON_ASCII = r"[^\x{0}-\x{7F}]"
+UPPERCASE = (
+    r"[\p{Lu}\x{2160}-\x{216F}\x{24B6}-\x{24CF}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}]"
+)
+ALL_CAPS_WORD = r"(^|[^\p{L}\p{N}_])[A-Z]{2,}($|[^\p{L}\p{N}_])"
+
+
 def hu(x: str, digits: int = 2) -> str:
     """Half-up rounding of a double."""
     s = f"{10**digits}::DOUBLE"
@@ -99,17 +110,17 @@ def text_columns(t: str, names=None) -> str:
 
     cta = " ".join(f"WHEN {any_of(low, words)} THEN '{name}'" for name, words in tx.CTA_WORDS)
     cols = {
-        "word_count": count(tx.WORD),
+        "word_count": count(WORD),
         "char_count": f"CAST(length({v}) AS INTEGER)",
-        "sentence_count": count(tx.SENTENCE_END) + " + 1",
-        "has_numbers": f"regexp_matches({v}, '{tx.DIGIT}')",
+        "sentence_count": count(SENTENCE_END) + " + 1",
+        "has_numbers": f"regexp_matches({v}, '{DIGIT}')",
         "has_percent": f"contains({v}, '%')",
         "has_dollar": f"contains({v}, '$')",
         "has_question": f"contains({v}, '?')",
         "has_exclamation": f"contains({v}, '!')",
-        "has_emoji": f"regexp_matches({v}, '{tx.NON_ASCII}')",
-        "uppercase_ratio": f"CAST({count(tx.UPPERCASE)} AS DOUBLE) / length({v})",
-        "has_all_caps_word": f"regexp_matches({v}, '{tx.ALL_CAPS_WORD}')",
+        "has_emoji": f"regexp_matches({v}, '{NON_ASCII}')",
+        "uppercase_ratio": f"CAST({count(UPPERCASE)} AS DOUBLE) / length({v})",
+        "has_all_caps_word": f"regexp_matches({v}, '{ALL_CAPS_WORD}')",
     }
     for w in tx.MENTION_WORDS:
         cols[f"mention_{w}"] = f"contains({low}, '{w}')"

@@ -7,9 +7,9 @@ over the stored view and a lost executor costs one task, not the chain.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import decisions, metrics, models, reports, training
 from ..operators.aggregates import creative_metadata, daily_aggregates, weekly_summaries
@@ -36,18 +36,26 @@ def store_daily(df: DataFrame, path: str, unit: str = "day") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def stored_days(view: DataFrame, as_of: date, days: int, unit: str = "day") -> DataFrame:
+    """The last days of a view written by ``store_daily``; partitions outside them are not read."""
+    first = as_of - timedelta(days=days)
+    if unit == "month":
+        first = first.replace(day=1)
+    return view.filter(F.col("period").between(F.lit(first), F.lit(as_of))).drop("period")
+
+
 def run_processing(
     spark: SparkSession, elements: DataFrame, content: DataFrame, root: str, as_of: date, at: datetime,
     unit: str = "day",
 ) -> DataFrame:
     """Training sets, dashboard aggregates, and the metric rows describing them."""
-    cp = store_daily(creative_performance(elements), f"{root}/creative_performance", unit).drop("period")
+    cp = store_daily(creative_performance(elements), f"{root}/creative_performance", unit)
     creative_paths = write_training_set(
-        training.creative_training_set(cp, content, as_of), root, "creative_scoring", at
+        training.creative_training_set(stored_days(cp, as_of, 60, unit), content, as_of), root, "creative_scoring", at
     )
     bid_paths = write_training_set(training.bid_training_set(elements, as_of), root, "bid_optimization", at)
-    write_partitioned(daily_aggregates(cp, as_of), f"{root}/aggregates/daily")
-    write_partitioned(weekly_summaries(cp, as_of), f"{root}/aggregates/weekly", "week_start")
+    write_partitioned(daily_aggregates(stored_days(cp, as_of, 90, unit), as_of), f"{root}/aggregates/daily")
+    write_partitioned(weekly_summaries(stored_days(cp, as_of, 180, unit), as_of), f"{root}/aggregates/weekly", "week_start")
     write_creative_metadata(creative_metadata(cp), f"{root}/aggregates")
     manifest = metrics.manifest_of(
         {

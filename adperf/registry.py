@@ -755,8 +755,7 @@ def document_features(s, d):
 
 
 def basic_features(s, d):
-    docs = tables.documents(s, d).select("doc_id", "text")
-    return docs.withColumns(tx.basic_text_features("text")).drop("text")
+    return tx.add_basic_features(tables.documents(s, d).select("doc_id", "text"), "text").drop("text")
 
 
 def content_features(s, d):
@@ -803,7 +802,7 @@ def calendar(s, d):
 add("f01_f15_document_features", document_features, f"SELECT doc_id, {o.text_columns('text')} FROM documents")
 add("f16_content_features", content_features, o.sql(
     f"SELECT creative_id, headline, description, cta, {o.text_columns('combined_text')} FROM contentp", "contentp"))
-_BASIC = o.text_columns("text", [n for n in tx.BASIC_FEATURE_NAMES if n != "mention_data"])
+_BASIC = o.text_columns("text", [n for n in tx.BASIC_FEATURE_NAMES if n != "mention_data"])  # no text is empty
 add("f17_basic_features", basic_features, f"SELECT doc_id, {_BASIC}, contains(lower(text), 'data') AS mention_data FROM documents")
 add(
     "f19_parse_copy",

@@ -60,10 +60,9 @@ def test_no_features_without_text(spark):
 
 
 def test_basic_features_of_empty_text(spark):
-    row = spark.createDataFrame([("",)], "t string").select(
-        *[c.alias(n) for n, c in tx.basic_text_features("t").items()]
-    ).first()
-    assert (row.word_count, row.char_count, row.uppercase_ratio, row.has_numbers) == (0, 0, 0.0, False)
+    rows = tx.add_basic_features(spark.createDataFrame([("",), ("My data",), (None,)], "t string"), "t").collect()
+    assert (rows[0].word_count, rows[0].char_count, rows[0].uppercase_ratio, rows[0].has_numbers) == (0, 0, 0.0, False)
+    assert rows[1].mention_data and rows[1].word_count == 2 and rows[2].word_count is None
 
 
 def test_combined_text(spark):
