@@ -49,10 +49,10 @@ def ad_elements(
     price = F.lit(8) + (p * 7) % 40 + F.round(F.col("l_discount") * 100)
     converted = F.floor(clicks * F.round(F.col("l_tax") * 100) / F.lit(100.0))
     shipped = F.col("l_shipdate").cast("timestamp")
-    hours = ((F.col("l_linenumber") - 1) % 4) * 6
+    pull = ((F.col("l_linenumber") - 1) % 4).cast("bigint") * 6 * 3_600_000_000
     return rows.select(
         F.to_date("l_shipdate").alias("report_date"),
-        (shipped + F.make_dt_interval(hours=hours)).alias("pulled_ts"),
+        F.timestamp_micros(F.unix_micros(shipped) + pull).alias("pulled_ts"),
         F.concat(F.lit("cmp_"), n.cast("string")).alias("campaign_id"),
         F.concat(F.lit("Campaign "), n.cast("string")).alias("campaign_name"),
         F.when(n < 8, "ACTIVE").otherwise("PAUSED").alias("campaign_status"),
