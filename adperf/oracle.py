@@ -400,7 +400,7 @@ def alarm_sql(source: str, alarms: list[Alarm], parts: tuple[str, ...], final: s
     for a in alarms:
         stat = "SUM(value) / COUNT(value)" if a.stat == "Average" else "SUM(value)"
         step = f"INTERVAL {a.period} SECONDS"
-        per = f"""SELECT to_timestamp(CAST(floor(epoch(ts) / {a.period}) * {a.period} AS BIGINT)) AT TIME ZONE 'UTC' AS period_start,
+        per = f"""SELECT make_timestamp(CAST(floor(epoch(ts) / {a.period}) * {a.period} AS BIGINT) * 1000000) AS period_start,
                  {hu(stat, 6)} AS value FROM {source} WHERE name = '{a.metric}' GROUP BY 1"""
         branches.append(f"""
     SELECT '{a.name}' AS alarm, {a.periods} AS needed, s.period_start, v.value, COALESCE(v.value {a.op} {a.threshold}, false) AS breach

@@ -51,6 +51,22 @@ def test_pretty_documents_and_unnest(spark, tmp_path):
     assert (success.successful_pulls, success.failed_pulls) == (4, 0)
 
 
+def test_latest_pull_by_element_date(spark, tmp_path):
+    root = str(tmp_path)
+
+    def span(day):
+        d = {"day": day, "month": 12, "year": 2024}
+        return {"start": d, "end": d}
+
+    put(root, "2024-12-02", "a.json", document("2024-12-02T00:00:00", elements=[element(clicks=1, dateRange=span(1))]))
+    put(root, "2024-12-02", "b.json", document(
+        "2024-12-02T06:00:00", elements=[element(clicks=2, dateRange=span(1)), element(clicks=3, dateRange=span(2))]))
+    rows = raw.explode_elements(raw.read_raw(spark, root))
+    by_element = views.latest_pull(rows, "element_date").orderBy("report_date").collect()
+    assert [(r.report_date.day, r.total_clicks) for r in by_element] == [(1, 2), (2, 3)]
+    assert [r.total_clicks for r in views.latest_pull(rows).collect()] == [5]
+
+
 def test_malformed_documents_are_skipped_or_counted(spark, tmp_path):
     root = str(tmp_path)
     put(root, "2024-12-01", "a.json", document(elements=[element()]))
