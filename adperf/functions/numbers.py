@@ -48,7 +48,3 @@ def clamp(x, low, high) -> Column:
 def to_number(x) -> Column:
     """Text to double; blank or malformed text becomes NULL."""
     return F.trim(as_column(x)).try_cast("double")
-
-
-def fill_zero(df, columns):
-    return df.na.fill(0, subset=list(columns))

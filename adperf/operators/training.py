@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.bids import optimal_bid
 from ..functions.dates import cyclic, dow0, is_business_hours, is_peak_hours, is_weekend
 from ..functions.numbers import mean_of, percent, safe_ratio
-from ..functions.text import FEATURE_NAMES, add_text_features
+from ..functions.text import add_text_features
 from .reports import down, last_days, mean, total, up
 from .views import measured
 
@@ -182,7 +182,3 @@ def target_profile(df: DataFrame, target: str) -> DataFrame:
         mean_of(target, 6).alias("mean"),
         F.median(target).alias("median"),
     )
-
-
-def text_feature_names() -> list[str]:
-    return list(FEATURE_NAMES)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.dates import instant, iso_text
 from ..functions.text import combined_text
-from .schema import CONTENT, CREATIVE_DOCUMENT, ELEMENT_COLUMNS, RAW, TARGETING
+from .schema import CONTENT, CREATIVE_DOCUMENT, RAW, TARGETING
 
 PATH_DATE = r"/(\d{4})/(\d{1,2})/(\d{1,2})/[^/]+$"
 HIVE_DATE = r"/year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})/[^/]+$"
@@ -242,10 +242,6 @@ def write_raw(documents: DataFrame, path: str, mode: str = "append") -> None:
     dated.hint("rebalance", "year", "month", "day").write.mode(mode).partitionBy("year", "month", "day").json(path)
 
 
-def element_columns(df: DataFrame) -> DataFrame:
-    return df.select(*ELEMENT_COLUMNS)
-
-
 def first_content(raw: DataFrame) -> DataFrame:
     """The content a creative had in the first file, by path, that carries any."""
     rows = raw.select(

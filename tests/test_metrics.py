@@ -76,3 +76,14 @@ def test_collector_totals_without_data(spark, elements):
 def test_run_without_impressions_reports_no_ctr(spark, elements):
     rows = metrics.collector_metrics(elements([("2024-12-01", 6, "a", "x", 0, 0, 0.0, 0)])).collect()
     assert sorted(r.name for r in rows) == ["SuccessfulPulls", "TotalClicks", "TotalCost", "TotalImpressions"]
+
+
+def test_alarms_over_stored_metrics(spark, tmp_path):
+    from adperf.streaming import rollup
+
+    path = str(tmp_path / "metrics")
+    series(spark, [0.5, 0.5, 0.5]).write.parquet(path)
+    series(spark, [None, None, None, 0.5, 2]).write.mode("append").parquet(path)
+    since = START + timedelta(hours=6)
+    out = rollup.alarms_of_batch(spark, path, since, [low(3)]).orderBy("period_start").collect()
+    assert [r.state for r in out] == ["OK", "OK", "ALARM", "OK"]
