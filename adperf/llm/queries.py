@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, mixing, packing, tokens, urls
+from adperf.llm import chat, langid, mixing, packing, tokens, toxicity, urls
 from adperf.llm.common import read
 
 
@@ -33,12 +33,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_language(read(spark, sf_dir, "documents"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_conversation(read(spark, sf_dir, "conversations"))
     return chat.digest(chat.format_conversations(turns))
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_token_counts, op3_url_filter, op4_source_mix, op6_packing, op9_chat_formatting)
+    f.__name__: f for f in (op1_token_counts, op3_url_filter, op4_source_mix, op6_packing, op7_toxicity, op8_language_id, op9_chat_formatting)
 }
 ORACLE = {"op3_url_filter": urls.SQL, "op4_source_mix": mixing.SQL, "op9_chat_formatting": chat.SQL}
