@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, langid, mixing, packing, tokens, toxicity, urls
+from adperf.llm import chat, langid, mixing, odd_sketch, packing, spotsigs, tokens, toxicity, urls
 from adperf.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op2_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"))
 
@@ -46,7 +50,15 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_token_counts, op3_url_filter, op4_source_mix, op6_packing, op7_toxicity, op8_language_id, op9_chat_formatting)
-}
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_spot_signatures, op3_url_filter, op4_source_mix, op6_packing, op7_toxicity, op8_language_id,
+        op9_chat_formatting, op10_near_duplicates,
+    )
+}
 ORACLE = {"op3_url_filter": urls.SQL, "op4_source_mix": mixing.SQL, "op9_chat_formatting": chat.SQL}
