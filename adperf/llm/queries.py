@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, langid, mixing, odd_sketch, packing, spotsigs, tokens, toxicity, urls
+from adperf.llm import chat, langid, mixing, nn_descent, odd_sketch, packing, spotsigs, tokens, toxicity, urls
 from adperf.llm.common import read
 
 
@@ -33,6 +33,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), mixing.WEIGHTS)
 
 
+def op5_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -57,7 +61,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op2_spot_signatures, op3_url_filter, op4_source_mix, op6_packing, op7_toxicity, op8_language_id,
+        op1_token_counts, op2_spot_signatures, op3_url_filter, op4_source_mix, op5_embedding_links, op6_packing, op7_toxicity, op8_language_id,
         op9_chat_formatting, op10_near_duplicates,
     )
 }
