@@ -114,7 +114,8 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     A text crosses the network once by its own id, and its beginning and fingerprint once more to the document before it.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = docs.select(F.col("doc_id").cast("long"), whole_text(docs).alias("text"))
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    own = docs.select(doc_id, whole_text(docs).alias("text"))
     sizes = own.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.count("*").alias("n_rows"), F.max(F.floor(F.char_length("text") / 3)).alias("third")
     )
@@ -130,7 +131,10 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
         giving = giving.withColumn("rank", F.row_number().over(smallest)).filter("rank = 1")
     giving = giving.select("target", F.expr("substring(text, 1, third)").alias("beginning"), signatures(F.col("text")).alias("next_signs"))
     joined = dealt.join(giving, F.col("doc_id") == F.col("target")).drop("target")
-    without = own.filter("doc_id IS NULL").select("*", F.lit("").alias("beginning"), F.array(F.lit(None).cast("int")).alias("next_signs"))
+    without = docs.filter("doc_id IS NULL").select(
+        F.lit(None).cast("long").alias("doc_id"), whole_text(docs).alias("text"), F.lit("").alias("beginning"),
+        F.array(F.lit(None).cast("int")).alias("next_signs"),
+    )
     rows = joined.unionByName(without).withColumn("n_chars", F.char_length("text").cast("long"))
     edited = F.concat(F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 3) as int))"), F.col("beginning"))
     rows = rows.withColumn("edited", edited).withColumns({"signs": signatures(F.col("text")), "edited_signs": signatures(F.col("edited"))})
