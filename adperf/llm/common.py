@@ -13,6 +13,18 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_held: dict = {}
+
+
+def only_one(key, make):
+    """``make()`` for a key, kept by this Python worker until another key is asked for: workers serve many stages, and
+    their word tables must not add up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A test table. Python workers can import this package afterwards, wherever the driver was started."""
     environment = spark.sparkContext.environment

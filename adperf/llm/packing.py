@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adperf.llm.common import whole_text
+from adperf.llm.common import only_one, whole_text
 from adperf.llm.tokens import Kept
 
 CAPACITY = 2048
@@ -61,13 +61,8 @@ class WordTokenizer:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    return only_one(("words", path), lambda: WordTokenizer(path))
 
 
 def difference(sizes: list[int], ways: int) -> list[list[int]]:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adperf.llm.common import whole_text
+from adperf.llm.common import only_one, whole_text
 
 SPACE = "▁"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -119,14 +119,9 @@ class MergeCounter:
         return sum(map(self.words.__getitem__, normal[1:].split(SPACE)))
 
 
-_counters: dict[str, MergeCounter] = {}
-
-
 def counter(path: str) -> MergeCounter:
-    """One counter for each vocabulary file and Python worker; workers are reused, so its cache serves many tasks."""
-    if path not in _counters:
-        _counters[path] = MergeCounter(path)
-    return _counters[path]
+    """The counter of a vocabulary file, kept by the Python worker; workers are reused, so its tables serve many tasks."""
+    return only_one(("merges", path), lambda: MergeCounter(path))
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:

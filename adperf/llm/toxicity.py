@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adperf.llm.common import id_fold, whole_text
+from adperf.llm.common import id_fold, only_one, whole_text
 from adperf.llm.tokens import Kept
 
 ORDER = 5
@@ -38,7 +38,7 @@ def words(text: str) -> list[str]:
 class KneserNey:
     """Log-likelihood ratios from the n-gram counts of both classes (orders SHARED + 1 to ORDER, ``^`` and ``$`` at word ends)."""
 
-    def __init__(self, toxic: dict[str, int], ordinary: dict[str, int], cache: int = 400_000):
+    def __init__(self, toxic: dict[str, int], ordinary: dict[str, int], cache: int = 300_000):
         self.counts = (ordinary, toxic)
         self.contexts = tuple(self._contexts(c) for c in self.counts)
         # Shared continuation counts: by how many different characters a shorter gram is preceded, over both classes.
@@ -117,16 +117,11 @@ def logistic(evidence: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 class Model:
     """What the tasks get: n-gram counts and the logistic curve. Each Python worker builds the tables once."""
 
-    _built: dict[str, KneserNey] = {}
-
     def __init__(self, key: str, toxic: dict, ordinary: dict, slope: float = 0.0, intercept: float = 0.0):
         self.key, self.toxic, self.ordinary, self.slope, self.intercept = key, toxic, ordinary, slope, intercept
 
     def ratios(self) -> KneserNey:
-        if self.key not in self._built:
-            self._built.clear()
-            self._built[self.key] = KneserNey(self.toxic, self.ordinary)
-        return self._built[self.key]
+        return only_one(("toxicity", self.key), lambda: KneserNey(self.toxic, self.ordinary))
 
     def score(self, text: str) -> float:
         if not self.toxic or not self.ordinary:
