@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.bids import heuristic_bid
 from ..functions.dates import dow0
-from ..functions.numbers import mean_of, round_half_up
+from ..functions.numbers import clamp, mean_of, round_half_up
 from ..functions.text import money, thousands
 from ..settings import Thresholds
 from .reports import down, last_days, mean, total, up
@@ -107,7 +107,7 @@ def propose_bids(perf: DataFrame, t: Thresholds = DEFAULTS, predicted: DataFrame
         joined = rolled.join(predicted.select("campaign_id", "predicted_bid"), "campaign_id", "left")
         bids = joined.withColumns(
             {
-                "new_bid": F.coalesce(round_half_up("predicted_bid"), formula),
+                "new_bid": F.coalesce(round_half_up(clamp(F.col("predicted_bid"), F.lit(1.0), F.lit(15.0))), formula),
                 "bid_source": F.when(F.col("predicted_bid").isNotNull(), "model").otherwise("heuristic"),
             }
         ).drop("predicted_bid")

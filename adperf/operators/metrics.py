@@ -38,13 +38,13 @@ def collector_totals(elements: DataFrame, keys=()) -> DataFrame:
 
 
 def pull_success(raw: DataFrame) -> DataFrame:
-    """Pulls with data and pulls in which both halves are missing."""
+    """Pulls with data and pulls in which both halves are missing; a pull in several documents counts once."""
     no_analytics = F.col("analytics").isNull() | F.col("analytics.elements").isNull()
     no_config = F.col("campaign_config").isNull() | F.col("campaign_config.id").isNull()
-    failed = no_analytics & no_config
-    return raw.agg(
-        F.count(F.when(~failed, F.lit(1))).alias("successful_pulls"),
-        F.count(F.when(failed, F.lit(1))).alias("failed_pulls"),
+    pulls = raw.groupBy("campaign_id", "pulled_at").agg(F.min(no_analytics & no_config).alias("failed"))
+    return pulls.agg(
+        F.count_if(~F.col("failed")).alias("successful_pulls"),
+        F.count_if(F.col("failed")).alias("failed_pulls"),
     )
 
 

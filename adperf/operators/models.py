@@ -207,7 +207,8 @@ class ModelRegistry:
 
     def current(self, name: str):
         """The registry row in production, or None."""
-        last = F.max_by(F.struct("version", "path", "model_type", "metrics"), "entered").alias("last")
+        last = F.max_by(F.struct("version", "path", "model_type", "metrics"), F.struct("entered", "created_at", "version")).alias("last")
+        # ``entered`` can tie when two publishers run at once; the later row, then the higher version, decides.
         row = self.rows().filter((F.col("name") == name) & (F.col("status") == "production")).agg(last).first()
         return row["last"]
 

@@ -179,15 +179,18 @@ def _pulls(raw: DataFrame, as_of: date, days: int) -> DataFrame:
     """
     elements = F.col("analytics.elements")
     empty = elements.isNull() | (F.size(elements) == 0)
-    piece = F.coalesce(F.col("part"), F.lit(0)) if "part" in raw.columns else F.lit(0)
+    piece = F.col("part").isNotNull().cast("int") if "part" in raw.columns else F.lit(0)
     dated = last_days(raw.withColumn("report_date", F.to_date(instant("pulled_at"))), as_of, days)
     pulls = dated.groupBy("report_date", "campaign_id", "pulled_at").agg(
-        F.max(piece).alias("last_piece"),
+        F.max(piece).alias("split"),
         F.count(F.lit(1)).alias("documents"),
         F.sum(empty.cast("bigint")).alias("empty"),
     )
-    whole = F.when(F.col("last_piece") > 0, F.lit(1).cast("bigint")).otherwise(F.col("documents"))
-    return pulls.withColumn("documents", whole)
+    one = F.lit(1).cast("bigint")
+    whole = F.when(F.col("split") > 0, one).otherwise(F.col("documents"))
+    # A pull in pieces is empty when all of them are.
+    empty_pull = F.when(F.col("split") > 0, (F.col("empty") == F.col("documents")).cast("bigint")).otherwise(F.col("empty"))
+    return pulls.withColumns({"documents": whole, "empty": empty_pull})
 
 
 def missing_data(raw: DataFrame, as_of: date, days: int = 7) -> DataFrame:
@@ -339,7 +342,8 @@ def row_counts(**tables: DataFrame) -> DataFrame:
 
 def recent_daily(ds: DataFrame, k: int = 10) -> DataFrame:
     """The latest rows of the daily summary."""
-    return ds.orderBy(down("report_date"), up("campaign_id")).limit(k)
+    rest = [up(c) for c in ds.columns if c not in ("report_date", "campaign_id")]  # a campaign can have two budgets a day
+    return ds.orderBy(down("report_date"), up("campaign_id"), *rest).limit(k)
 
 
 def low_ctr_runs(cp: DataFrame, days: int = 3, max_ctr: float = 1.0) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import decisions, metrics, models, reports, training
 from ..operators.aggregates import creative_metadata, daily_aggregates, weekly_summaries
+from ..operators.reports import last_days
 from ..operators.views import creative_performance
 from ..settings import Thresholds
 from ..sources.sinks import (
@@ -55,7 +56,10 @@ def run_processing(
     )
     bid_paths = write_training_set(training.bid_training_set(elements, as_of), root, "bid_optimization", at)
     write_partitioned(daily_aggregates(stored_days(cp, as_of, 90, unit), as_of), f"{root}/aggregates/daily")
-    write_partitioned(weekly_summaries(stored_days(cp, as_of, 180, unit), as_of), f"{root}/aggregates/weekly", "week_start")
+    # From a Monday on: a week that is replaced has all its days.
+    first = as_of - timedelta(days=180)
+    whole_weeks = last_days(stored_days(cp, as_of, 180 + first.weekday(), unit), as_of, 180 + first.weekday())
+    write_partitioned(weekly_summaries(whole_weeks), f"{root}/aggregates/weekly", "week_start")
     write_creative_metadata(creative_metadata(cp), f"{root}/aggregates")
     manifest = metrics.manifest_of(
         {

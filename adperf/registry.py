@@ -772,7 +772,7 @@ def parsed_copy(s, d):
         F.when(key % 4 == 0, F.concat(F.lit("Here:\n```json\n"), body, F.lit("\n```\nDone.")))
         .when(key % 4 == 1, F.concat(F.lit("```\n"), body, F.lit("\n```")))
         .when(key % 4 == 2, body)
-        .otherwise(F.concat(F.lit("Sorry, "), F.substring("description", 1, 20)))
+        .otherwise(F.concat(F.lit("Sorry, "), F.col("description")))
     )
     return tx.parse_copy(content.select("creative_id", answer.alias("response")), "response")
 

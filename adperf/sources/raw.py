@@ -160,29 +160,21 @@ def explode_elements(raw: DataFrame) -> DataFrame:
         element_day("start").alias("element_date"),
         F.col("elem.creativeContent").alias("content"),
         "part",
+        "pulled_at",
     )
 
 
-def raw_documents(elements: DataFrame, max_elements: int = 10_000) -> DataFrame:
+def raw_documents(elements: DataFrame, pieces: int = 1) -> DataFrame:
     """Elements back into one document per (campaign, pull).
 
-    A pull with more than ``max_elements`` elements is written as several documents, one per input
-    partition holding some of them, so that no document grows beyond what one task reads. Such
-    pieces are numbered in ``part``; exploding them gives the same elements as one document.
+    With ``pieces`` above 1 every pull, whatever its size, is split into that many documents by a hash of the creative id;
+    ``part`` numbers them. It depends on the element alone, so another partitioning or a later run gives the same
+    pieces, and exploding them gives the same elements as one document. Choose it so that the largest pull's share fits
+    one task; every count of pulls goes by (campaign, pull).
     """
     keys = ["pulled_ts", "campaign_id", "campaign_name", "campaign_status", "daily_budget", "unit_cost"]
-    pieces = elements.withColumn("piece", F.spark_partition_id())
-    big = (
-        elements.groupBy("pulled_ts", "campaign_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > max_elements)
-        .select(F.col("pulled_ts").alias("big_ts"), F.col("campaign_id").alias("big_id"))
-    )
-    numbered = pieces.join(
-        big,
-        F.col("pulled_ts").eqNullSafe(F.col("big_ts")) & F.col("campaign_id").eqNullSafe(F.col("big_id")),
-        "left",
-    ).withColumn("part", F.when(F.col("big_id").isNotNull(), F.col("piece")))
+    part = F.pmod(F.xxhash64("creative_id"), F.lit(pieces)).cast("int") if pieces > 1 else F.lit(None).cast("int")
+    numbered = elements.withColumn("part", part)
     day = F.struct(
         F.dayofmonth("report_date").alias("day"),
         F.month("report_date").alias("month"),

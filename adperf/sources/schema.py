@@ -29,8 +29,8 @@ FACETS = struct(locations=STRINGS, staffCountRanges=STRINGS, industries=STRINGS)
 TARGETING = struct(includedTargetingFacets=FACETS)
 CONFIG = struct(id=STRING, name=STRING, status=STRING, dailyBudget=MONEY, unitCost=MONEY, targeting=TARGETING)
 
-# One document per (campaign, pull). `part` numbers the pieces of a document that was split on
-# writing; it is absent from documents holding a whole pull.
+# One document per (campaign, pull). `part` numbers the pieces where pulls are written in several
+# documents; it is absent from documents holding a whole pull.
 RAW = struct(
     pulled_at=STRING,
     campaign_id=STRING,

@@ -19,7 +19,8 @@ def write_training_set(df: DataFrame, root: str, dataset: str, at: datetime) ->
     df.write.mode("overwrite").parquet(paths["parquet"])
     # The set is computed once; the other two copies are read from the first.
     written = df.sparkSession.read.schema(df.schema).parquet(paths["parquet"])
-    written.write.mode("overwrite").option("header", True).csv(paths["csv"])
+    # Quotes are doubled, so that texts with quotes, commas and line breaks come back whole.
+    written.write.mode("overwrite").option("header", True).option("escape", '"').csv(paths["csv"])
     written.write.mode("overwrite").parquet(paths["latest"])
     return paths
 
@@ -62,9 +63,16 @@ def export_table(df: DataFrame, table: str, path: str) -> None:
 
 
 def append_actions(actions: DataFrame, path: str) -> None:
-    """Appends to the action log, one directory of JSON lines per day."""
-    day = F.date_format("timestamp", "yyyy-MM-dd")
-    actions.withColumn("date", day).write.mode("append").partitionBy("date").json(path)
+    """Appends to the action log, JSON lines by day and run; a run that is repeated replaces its own rows."""
+    stamped = actions.withColumns(
+        {"date": F.date_format("timestamp", "yyyy-MM-dd"), "run_ts": F.date_format("timestamp", "yyyyMMdd_HHmmss")}
+    )
+    (
+        stamped.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "run_ts")
+        .json(path)
+    )
 
 
 def write_copy(variations: DataFrame, root: str, generated_at: datetime, metadata: dict[str, str]) -> None:

@@ -9,13 +9,15 @@ from pyspark.errors import AnalysisException
 def read_training(spark: SparkSession, path: str, formats=("parquet",), distinct: bool = False) -> DataFrame:
     """Every file of the given formats below ``path``, put together by column name.
 
+    CSV files take the types of the formats named before them, else Spark infers them.
     ``distinct`` removes the copies a set has when it was stored in more than one format.
     """
     parts = []
     for fmt in formats:
         reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{fmt}")
         if fmt == "csv":
-            reader = reader.option("header", True).option("inferSchema", True)
+            reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+            reader = reader.schema(parts[0].schema) if parts else reader.option("inferSchema", True)
         try:
             part = reader.format(fmt).load(path)
         except AnalysisException as error:

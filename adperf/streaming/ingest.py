@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,7 +17,7 @@ from ..sources.sinks import period_of, with_period, write_partitioned
 ELEMENTS_SCHEMA = (
     "report_date date, pulled_ts timestamp, campaign_id string, campaign_name string, campaign_status string, "
     "daily_budget double, unit_cost double, creative_id string, impressions bigint, clicks bigint, cost double, "
-    "conversions bigint, unique_impressions bigint, part int, period date, batch_id bigint"
+    "conversions bigint, unique_impressions bigint, part int, pulled_at string, period date, batch_id bigint"
 )
 
 
@@ -46,9 +47,11 @@ class Store:
         return (period + timedelta(days=32)).replace(day=1)
 
 
-def one_of(column: str, days: list[date]) -> Column:
-    """``column IN (days)`` as one expression, which prunes partitions."""
-    return F.expr(f"{column} IN ({', '.join(f'DATE {chr(39)}{d}{chr(39)}' for d in days)})")
+def one_of(column: str, days: list[date | None]) -> Column:
+    """``column IN (days)`` as one expression, which prunes partitions; None stands for NULL."""
+    named = ", ".join(f"DATE '{d}'" for d in days if d is not None)
+    tests = [f"{column} IN ({named})"] * bool(named) + [f"{column} IS NULL"] * (None in days)
+    return F.expr(" OR ".join(tests) or "false")
 
 
 def stream_raw(spark: SparkSession, path: str, multi_line: bool = True, files_per_batch: int | None = None) -> DataFrame:
@@ -74,33 +77,38 @@ def without_redelivery(raw_stream: DataFrame, delay: str = "1 day") -> DataFrame
     return timed.dropDuplicatesWithinWatermark(["campaign_id", "pulled_at", "part"])
 
 
-def touched_periods(rows: DataFrame) -> list[date]:
-    """Periods of staged rows; at most one value per calendar day reaches the driver."""
-    return sorted(r[0] for r in rows.select("period").distinct().collect() if r[0] is not None)
+def touched_periods(rows: DataFrame) -> list[date | None]:
+    """Periods of staged rows, None for unreadable times; at most one value per calendar day reaches the driver."""
+    found = [r[0] for r in rows.select("period").distinct().collect()]
+    return sorted(p for p in found if p is not None) + [None] * (None in found)
 
 
-def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date]:
+def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date | None]:
     """Adds the batch's documents that are not stored yet; returns the periods it touches.
 
-    The batch is parsed once into a staging table that the next batch overwrites. It owns its
-    ``batch_id`` partitions and replaces them when it is run again, and it compares with other
-    batches only, so a repeat after a failure leaves the same table.
+    The batch is parsed once into a staging table of its own name. Its rows go to partitions named by a hash over its
+    documents, not by ``batch_id``: a batch that is run again replaces its own partitions, and neither a new
+    checkpoint nor a second source, whose numbers start again, can replace those of another batch. It compares with other
+    batches only. A document whose time cannot be read is kept, with the NULL period as its partition.
     """
-    fresh = documents.dropDuplicates(["campaign_id", "pulled_at", "part"])
-    columns = [*ELEMENT_COLUMNS, "part", "period"]
+    identity = ["campaign_id", "pulled_at", "part"]
+    fresh = documents.dropDuplicates(identity)
+    columns = [*ELEMENT_COLUMNS, "part", "pulled_at", "period"]
     parsed = with_period(explode_elements(fresh), "report_date", store.unit).select(*columns)
-    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(store.path("staging"))
-    rows = store.spark.read.schema(parsed.schema).parquet(store.path("staging"))
+    staging = f"{store.path('staging')}/batch={batch_id}"
+    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)
+    rows = store.spark.read.schema(parsed.schema).parquet(staging)
     periods = touched_periods(rows)
     if not periods:
         return []
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in identity]
+    key = rows.select(*identity).distinct().agg(F.bit_xor(F.xxhash64(*named))).first()[0]
     if store.exists("elements"):
-        keys = ["period", "campaign_id", "pulled_ts", "piece"]
-        piece = F.coalesce("part", F.lit(-1))
-        stored = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != batch_id))
-        known = stored.withColumn("piece", piece).select(*keys).distinct()
-        rows = rows.withColumn("piece", piece).join(known, keys, "left_anti")
-    out = rows.select(*columns).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stored = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != key))
+        known = stored.select("period", *identity).distinct()
+        same = [rows[c].eqNullSafe(known[c]) for c in known.columns]
+        rows = rows.join(known, reduce(Column.__and__, same), "left_anti")
+    out = rows.select(*columns).withColumn("batch_id", F.lit(key).cast("bigint"))
     (
         out.hint("rebalance", "period")
         .write.mode("overwrite")
@@ -111,7 +119,7 @@ def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date
     return periods
 
 
-def refresh(store: Store, periods: list[date]) -> None:
+def refresh(store: Store, periods: list[date | None]) -> None:
     """Recomputes the daily views of ``periods`` and the weeks they reach into; replaces only those.
 
     Only the partitions of these periods are read from the element table; weeks are built from the
@@ -129,8 +137,10 @@ def refresh(store: Store, periods: list[date]) -> None:
     write_partitioned(_weeks(store, daily, periods), store.path("weekly"), "period")
 
 
-def _weeks(store: Store, daily: DataFrame, periods: list[date]) -> DataFrame:
-    """Whole weekly partitions for every week that has a day in ``periods``."""
+def _weeks(store: Store, daily: DataFrame, periods: list[date | None]) -> DataFrame:
+    """Whole weekly partitions for every week that has a day in ``periods``; days without a date are one NULL week."""
+    undated = [None] * (None in periods)
+    periods = [p for p in periods if p is not None]
 
     def start_of(day: date) -> date:
         return day if store.unit == "day" else day.replace(day=1)
@@ -153,8 +163,8 @@ def _weeks(store: Store, daily: DataFrame, periods: list[date]) -> DataFrame:
         while day < end:
             needed.add(start_of(day))
             day += timedelta(days=1)
-    rows = daily.filter(one_of("period", sorted(needed)))
-    in_week = one_of("week_period", weekly_periods)
+    rows = daily.filter(one_of("period", sorted(needed) + undated))
+    in_week = one_of("week_period", weekly_periods + undated)
     rows = rows.withColumn("week_period", period_of(week_start("report_date"), store.unit)).filter(in_week)
     return with_period(weekly_summaries(rows), "week_start", store.unit)
 

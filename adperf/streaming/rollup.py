@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.alarms import CATALOGUE, evaluate_alarms
 from ..operators.metrics import event_rollup
@@ -36,6 +38,13 @@ def run_rollup(windows: DataFrame, out: str, checkpoint: str) -> DataFrame:
 
 
 def alarms_of_batch(spark: SparkSession, metric_path: str, since, alarms=CATALOGUE) -> DataFrame:
-    """Alarm states over the stored metric rows from ``since`` on, for use after each micro-batch."""
+    """Alarm states of the periods from the one of ``since`` on, for use after each micro-batch.
+
+    Reads as many earlier periods as the alarms look back on, so the states equal those over the whole history;
+    ``breach_run`` counts no further back than that.
+    """
     metrics = spark.read.parquet(metric_path)
-    return evaluate_alarms(metrics.filter(metrics.ts >= since), alarms)
+    back = max((a.period * a.periods for a in alarms), default=0)
+    states = evaluate_alarms(metrics.filter(metrics.ts >= since - timedelta(seconds=back)), alarms)
+    length = F.create_map(*[F.lit(x) for a in alarms for x in (a.name, a.period)])[F.col("alarm")]
+    return states.filter(F.unix_timestamp("period_start") + length > F.unix_timestamp(F.lit(since)))

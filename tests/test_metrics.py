@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from adperf.operators import alarms, metrics
 
 START = datetime(2024, 1, 1)
@@ -86,4 +88,6 @@ def test_alarms_over_stored_metrics(spark, tmp_path):
     series(spark, [None, None, None, 0.5, 2]).write.mode("append").parquet(path)
     since = START + timedelta(hours=6)
     out = rollup.alarms_of_batch(spark, path, since, [low(3)]).orderBy("period_start").collect()
-    assert [r.state for r in out] == ["OK", "OK", "ALARM", "OK"]
+    assert [r.state for r in out] == ["OK", "ALARM", "ALARM", "OK"]
+    whole = alarms.evaluate_alarms(spark.read.parquet(path), [low(3)]).filter(F.col("period_start") >= F.lit(since))
+    assert [r.state for r in whole.orderBy("period_start").collect()] == [r.state for r in out]

@@ -1,5 +1,5 @@
 import json
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -94,3 +94,30 @@ def test_malformed_documents_do_not_stop_the_stream(spark, tmp_path):
     store = ingest.Store(spark, str(tmp_path / "store"))
     ingest.run_ingest(store, source, str(tmp_path / "progress"))
     assert store.elements().agg(F.count("*")).first()[0] == 1
+
+
+def test_checkpoints_sources_and_unreadable_times(spark, tmp_path):
+    """A reset checkpoint and a second source lose nothing; a document without a readable time is kept and counted."""
+    store = ingest.Store(spark, str(tmp_path / "store"))
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    put(first, "2024-11-29", "a.json", document("2024-11-29T06:00:00", elements=[element()]))
+    ingest.run_ingest(store, first, str(tmp_path / "p1"))
+    put(second, "2024-11-29", "a.json", document("2024-11-29T12:00:00", elements=[element(), element("c2")]))
+    put(second, "2024-11-29", "b.json", document("no time", elements=[element("c3")]))
+    ingest.run_ingest(store, second, str(tmp_path / "p2"))
+    assert store.elements().count() == 4
+    put(first, "2024-11-29", "c.json", document("nor here", elements=[element("c4")]))
+    ingest.run_ingest(store, first, str(tmp_path / "p3"))  # a new checkpoint reads all of the first source again
+    assert store.elements().count() == 5 and store.elements().filter("period IS NULL").count() == 2
+    both = raw.read_raw(spark, first).unionByName(raw.read_raw(spark, second))
+    assert same(store.table("creative_performance").drop("period"), views.creative_performance(raw.explode_elements(both)))
+
+
+def test_daily_job_keeps_whole_weeks(spark):
+    from adperf.operators.reports import last_days
+
+    as_of = date(2024, 12, 1)
+    first = as_of - timedelta(days=180)
+    days = spark.range(400).selectExpr("date_sub(DATE'2024-12-01', cast(id as int)) AS report_date")
+    kept = last_days(days, as_of, 180 + first.weekday()).agg(F.min("report_date")).first()[0]
+    assert kept.weekday() == 0 and kept <= first
