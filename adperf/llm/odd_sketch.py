@@ -6,7 +6,9 @@ of samples, are thinned by that estimate (far enough below the threshold to lose
 
 Equal sets are one class. A band's bucket does not emit all its pairs: its members are compared with two centres, links are
 joined into components, and only members outside a bucket's main component are compared with the others, since pairs inside
-a component add nothing to it. So every pair that shares a bucket is either compared or already connected.
+a component add nothing to it. Before that, shingles that no other such member has are set aside: what is left, counted in
+PARTS parts of the hash space, bounds a pair's intersection from above. So every pair that shares a bucket is compared,
+already connected or proven to be no link.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ ROWS, BANDS = 5, 25  # a pair at 0.85 shares no band with probability (1 - 0.85^
 SKETCH_BITS = 512
 MARGIN = 6.0  # standard deviations that the estimate may lie below the threshold
 CHUNK = 4096  # shingles hashed at a time
+PARTS = 64  # of the hash space in which shared shingles are counted
 
 _rng = np.random.default_rng(20240501)
 _FACTORS = _rng.integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)
@@ -138,11 +141,40 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return sizes & (_xor_count(a, b) <= largest_xor(percent))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity."""
+def shared_parts(sets: DataFrame) -> DataFrame:
+    """(id, parts): of the sets (id, set), how many of a set's shingles in each part of the hash space another set has too.
+
+    Shingles of one set alone are counted and taken off, so a shingle that very many sets share is grouped (partial counts
+    first) and never joined.
+    """
+    part = F.pmod("shingle", F.lit(PARTS)).cast("int").alias("part")
+    alone = sets.select("id", F.explode("set").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("sets"), F.min("id").alias("id"))
+    alone = alone.filter("sets = 1").groupBy("id", part).agg(F.count("*").cast("int").alias("n"))
+    alone = alone.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("alone"))  # PARTS entries at most
+
+    def run(batches):
+        for batch in batches:
+            ids, found = batch.column("id"), batch.column("set").to_pylist()
+            counts = [np.bincount(np.mod(np.array(s, np.int64), PARTS), minlength=PARTS).astype(np.int32) for s in found]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.list_(pa.int32()))], ["id", "counts"])
+
+    counts = sets.mapInArrow(run, "id long, counts array<int>").join(alone, "id", "left")
+    left = F.transform("counts", lambda n, i: n - F.coalesce(F.try_element_at("alone", i), F.lit(0)))
+    return counts.select("id", left.alias("parts"))
+
+
+def _can_share(a: str, b: str, percent: int) -> Column:
+    """Whether the intersection's upper bound allows a link; ``parts`` of both are from one call of shared_parts."""
+    most = F.aggregate(F.zip_with(f"{a}.parts", f"{b}.parts", lambda m, n: F.least(m, n)), F.lit(0), lambda total, n: total + n)
+    return most * (100 + percent) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, name: str, sets: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) whose full sets have the similarity. ``sets`` holds the sets (id, set) if they are stored already."""
     pairs = stored(pairs.select("a", "b").distinct(), f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(full_sets(docs, ids).dropDuplicates(["id"]), f"{name}-sets")
+    if sets is None:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = stored(full_sets(docs, ids).dropDuplicates(["id"]), f"{name}-sets")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -184,15 +216,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     parts = named.groupBy("band", "component").agg(F.count("*").alias("size"))
     main = parts.groupBy("band").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds"))
     named = named.join(main.filter("kinds > 1").select("band", "main"), "band")
-    named = stored(named.join(sketches, "id"), "near-open")
-    x, y = (F.struct("id", "component", "main", "n", "sketch").alias(side) for side in "xy")
+    named = stored(named, "near-open")
+    sets = stored(full_sets(docs, named.select("id").distinct()).dropDuplicates(["id"]), "near-open-sets")
+    bounds = shared_parts(sets).withColumn("most", F.aggregate("parts", F.lit(0), lambda total, n: total + n))
+    # A member that shares too little with all others together links with none of them.
+    able = sketches.join(bounds, "id").filter(F.col("most") * 100 >= F.col("n") * percent)
+    named = stored(named.join(able, "id"), "near-able")
+    x, y = (F.struct("id", "component", "main", "n", "sketch", "parts").alias(side) for side in "xy")
     strays = named.filter("component <> main").select("band", x)
     other = named.select(F.col("band").alias("other_band"), y)
     new = (F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))
-    apart = (F.col("x.component") != F.col("y.component")) & new & _alike("x", "y", percent)
+    apart = (F.col("x.component") != F.col("y.component")) & new & _alike("x", "y", percent) & _can_share("x", "y", percent)
     rest = strays.join(other, (F.col("band") == F.col("other_band")) & apart)
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    rest = stored(confirmed(rest, docs, percent, "near-rest"), "near-rest-links")
+    rest = stored(confirmed(rest, docs, percent, "near-rest", sets), "near-rest-links")
     if not rest.isEmpty():
         merged = component.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest)
         component = stored(connected_components(merged, "near-components"), "near-component")

@@ -57,7 +57,8 @@ def near_copies(n=60):
 
 def test_near_documents(spark, small, odd):
     chain = spark.createDataFrame(near_copies() + [(2000 + i, near_copies(1)[0][1].upper()) for i in range(30)], "doc_id long, text string")
-    for docs in (small("documents"), odd, chain):
+    varied = spark.createDataFrame(copies_of_many_edits(), "doc_id long, text string")
+    for docs in (small("documents"), odd, chain, varied):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
         sets, wanted = expected_components(rows)
         found = odd_sketch.near_duplicates(docs).collect()
@@ -74,6 +75,32 @@ def test_near_documents(spark, small, odd):
     assert odd_sketch.near_duplicates(odd.limit(0)).count() == 0
 
 
+def copies_of_many_edits(n=240):
+    """One text with few to many words replaced: some copies link with most others, some with none, their buckets are shared."""
+    rnd, base = random.Random(8), [f"w{i}" for i in range(200)]
+    out = []
+    for i in range(n):
+        words = base[:]
+        for k, at in enumerate(rnd.sample(range(200), i % 9)):
+            words[at] = f"edit{rnd.randrange(4) if i % 3 else i * 10 + k}"  # some edits are shared
+        out.append((5000 + i, " ".join(words)))
+    return out
+
+
+def test_shared_parts_bound_the_intersection(spark):
+    rows = [(i, t) for i, t in copies_of_many_edits(80)]
+    sets = {i: odd_sketch.shingles(t).view(np.int64) for i, t in rows}
+    sets[9000] = np.zeros(0, np.int64)
+    table = spark.createDataFrame([(i, s.tolist()) for i, s in sets.items()], "id long, set array<long>")
+    found = {r.id: np.array(r.parts) for r in odd_sketch.shared_parts(table).collect()}
+    assert set(found) == set(sets)
+    for a in sets:
+        others = set().union(*(sets[b].tolist() for b in sets if b != a))
+        wanted = np.bincount(np.array([s % odd_sketch.PARTS for s in sets[a].tolist() if s in others], int), minlength=odd_sketch.PARTS)
+        assert (found[a] == wanted).all()
+        assert all(len(np.intersect1d(sets[a], sets[b])) <= np.minimum(found[a], found[b]).sum() for b in sets if b != a)
+
+
 def test_sketches_estimate_the_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
