@@ -2,8 +2,8 @@
 
 A neighbour graph starts from random-projection orders and is refined through joins of neighbours of neighbours. Each
 round, a vector's forward and sampled reverse neighbours are compared with each other, and every vector keeps its best.
-Rounds go on while lists change and while an audit against brute force finds links missing. Lists that are full of links are
-enlarged to the whole component that they lie in, compared in blocks. Equal vectors are one node throughout.
+Rounds go on while lists change and while an audit against brute force finds links missing. A component that holds a list full of links is compared with all nodes
+too, but for those that a bound on angles excludes. Equal vectors are one node throughout.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ SETTLED = 0.01  # of all list entries: fewer changes end the rounds
 AUDIT = 256  # vectors whose links are audited by brute force, drawn by hash
 RECALL = 0.99  # of the audited links; below it, rounds go on
 BLOCK = 512  # vectors of a block
+CHUNK = 16 << 20  # bytes of vectors that travel with the tasks of one pass
 SEED = 17
 
 
@@ -210,6 +211,12 @@ def audit(nodes: DataFrame, threshold: float, size: int = AUDIT) -> DataFrame:
     return nodes.mapInArrow(run, "a long, b long, similarity double")
 
 
+def saturated_nodes(graph: DataFrame, threshold: float, length: int) -> DataFrame:
+    """(a): nodes whose list holds nothing but links, so that it may lack others."""
+    links = graph.filter(F.col("similarity") >= threshold).groupBy("a").agg(F.count("*").alias("n"))
+    return links.filter(F.col("n") >= length).select("a")
+
+
 def neighbour_graph(nodes: DataFrame, threshold: float, length: int) -> tuple[DataFrame, DataFrame, float]:
     """Lists of neighbours, the audited links, and the audited recall: links found by lists that have room, or joined by
     a chain of listed links of a saturated list's component."""
@@ -233,42 +240,131 @@ def neighbour_graph(nodes: DataFrame, threshold: float, length: int) -> tuple[Da
     return graph, truth, recall
 
 
-def enlarged(nodes: DataFrame, graph: DataFrame, component: DataFrame, threshold: float, length: int) -> tuple[DataFrame, DataFrame]:
-    """For components that hold a saturated list: (id, weight of its links) of all their members, and the components.
-
-    A saturated list is enlarged to its whole component. Members are packed into blocks of BLOCK by a hash of their id, and
-    pairs of blocks of one component are compared, each pair by itself, so a large component is spread over many tasks.
+def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the classes of a[k] and b[k]; ``root`` names each place's class by its first place."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+class Queries:
+    """Vectors of one length in groups, each with its mean direction and the largest angle to it."""
+
+    def __init__(self, names: list[int], groups: list, vectors: list[bytes]):
+        order = sorted(range(len(names)), key=lambda i: groups[i])
+        self.names = np.array([names[i] for i in order], np.int64)
+        self.x = unit([vectors[i] for i in order])
+        starts = [k for k, i in enumerate(order) if k == 0 or groups[i] != groups[order[k - 1]]]
+        self.spans = list(zip(starts, starts[1:] + [len(order)]))
+        centres = np.stack([self.x[lo:hi].mean(axis=0) for lo, hi in self.spans])
+        norms = np.linalg.norm(centres, axis=1, keepdims=True)
+        self.centres = np.where(norms > 1e-9, centres / np.where(norms > 1e-9, norms, 1), self.x[starts])
+        self.radii = np.array([np.arccos(np.clip(self.x[lo:hi] @ c, -1, 1)).max() for (lo, hi), c in zip(self.spans, self.centres)])
+
+
+def compare(nodes: DataFrame, queries: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, linked): for the nodes named in ``queries`` (id, component), exactly, the weight of all their links, and
+    pairs (a, b) that connect just what these links connect.
+
+    Queries travel with the tasks, CHUNK bytes a pass, and meet every node there, so no pair of vectors is shuffled.
+    They are grouped in blocks of one component. By the triangle inequality of angles, a node farther from a block's
+    centre than the block's radius and the threshold's angle together links with none of it.
     """
-    full = graph.filter(F.col("similarity") >= threshold).groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") >= length)
-    saturated = component.join(full.select(F.col("a").alias("node")), "node").select("component").distinct()
-    members = component.join(saturated, "component").join(nodes, F.col("node") == F.col("id")).select("component", "id", "weight", "vector")
+    members = queries.join(nodes, "id").select("id", "component", "vector")
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     placed = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    # About BLOCK rows of fixed size each.
-    blocks = placed.groupBy("component", "block").agg(F.collect_list(F.struct("id", "weight", "vector")).alias("rows"))
-    blocks = stored(blocks, "nn-blocks")
-    left = blocks.select("component", F.col("rows").alias("x"))
-    right = blocks.select("component", F.col("rows").alias("y"))
-
+    placed = stored(placed.select("id", "component", "block", "vector"), "nn-queries")
+    passes = max(1, -(-(placed.agg(F.sum(F.length("vector"))).first()[0] or 0) // CHUNK))
+    reach = float(np.arccos(threshold)) + 1e-6
+    out = None
+    for k in range(passes):
+        here = placed.filter(F.pmod(F.xxhash64("component", "block"), F.lit(passes)) == k)
+        table = here.select("id", "component", "block", "vector").toArrow().to_pydict()  # about CHUNK bytes
+        by_size: dict[int, list[int]] = {}
+        for i, v in enumerate(table["vector"]):
+            by_size.setdefault(len(v), []).append(i)
+        held = {
+            size: Queries([table["id"][i] for i in at], [(table["component"][i], table["block"][i]) for i in at], [table["vector"][i] for i in at])
+            for size, at in by_size.items()
+        }
+        found = stored(nodes.mapInArrow(_comparer(held, threshold, reach), "a long, b long, linked long"), "nn-compared")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _comparer(held: dict[int, Queries], threshold: float, reach: float):
     def run(batches):
+        linked = {size: np.zeros(len(q.names), np.int64) for size, q in held.items()}
+        root = {size: np.arange(len(q.names)) for size, q in held.items()}
         for batch in batches:
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                counts: dict[int, int] = {}
-                for size in {len(r["vector"]) for r in x}:
-                    a, b = ([r for r in side if len(r["vector"]) == size] for side in (x, y))
-                    if not b:
-                        continue
-                    linked = unit([r["vector"] for r in a]) @ unit([r["vector"] for r in b]).T >= threshold
-                    weights = linked @ np.array([r["weight"] for r in b], np.int64)
-                    place = {r["id"]: j for j, r in enumerate(b)}
-                    for i, r in enumerate(a):
-                        own = place.get(r["id"])
-                        counts[r["id"]] = int(weights[i]) - (r["weight"] if own is not None and linked[i, own] else 0)
-                yield _batch({"id": pa.array(counts.keys(), pa.int64()), "linked": pa.array(counts.values(), pa.int64())})
-
-    pairs = left.join(right, "component").select("x", "y").repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counted = pairs.mapInArrow(run, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
-    return counted, saturated
+            rows, edges = batch.column("vector").to_pylist(), ([], [])
+            every, all_weights = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("id", "weight"))
+            for size, q in held.items():
+                at = np.array([i for i, r in enumerate(rows) if len(r) == size], np.int64)
+                for start in range(0, len(at), BLOCK):
+                    part = at[start : start + BLOCK]
+                    x, ids, weights = unit([rows[i] for i in part]), every[part], all_weights[part]
+                    near = np.arccos(np.clip(x @ q.centres.T, -1, 1)) <= q.radii + reach
+                    first = np.full(len(part), -1)
+                    for g in np.flatnonzero(near.any(axis=0)):
+                        lo, hi = q.spans[g]
+                        able = np.flatnonzero(near[:, g])
+                        # Groups of more than BLOCK are compared a block at a time.
+                        for low in range(lo, hi, BLOCK):
+                            i, j = np.nonzero(x[able] @ q.x[low : min(hi, low + BLOCK)].T >= threshold)
+                            i, j = able[i], j + low
+                            other = ids[i] != q.names[j]
+                            i, j = i[other], j[other]
+                            if not len(i):
+                                continue
+                            np.add.at(linked[size], j, weights[i])
+                            # A row joins all that it links with: in this block, and with its first link of earlier ones.
+                            own, place, times = np.unique(i, return_index=True, return_counts=True)
+                            _join(root[size], np.repeat(j[place], times), j)
+                            first[own] = np.where(first[own] < 0, j[place], first[own])
+                            _join(root[size], first[own], j[place])
+                    has = first >= 0
+                    edges[0].append(ids[has])
+                    edges[1].append(q.names[first[has]])
+            if edges[0]:
+                a, b = (np.concatenate(side) for side in edges)
+                yield _batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(np.zeros(len(a), np.int64))})
+        for size, q in held.items():
+            has = np.flatnonzero(linked[size])
+            a, b = q.names[has], q.names[root[size][has]]
+            yield _batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(linked[size][has])})
+
+    return run
+
+
+def linked_exactly(nodes: DataFrame, links: DataFrame, full: DataFrame | None, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of the linked nodes, and (id, linked) of those compared with all nodes: those of components that
+    hold one of ``full`` (a), all if ``full`` is None. What a comparison brings into such a component is compared next."""
+    links = links.select("a", "b")
+    component = stored(connected_components(links, "nn-components"), "nn-component")
+    counted = nodes.limit(0).select("id", F.col("weight").alias("linked"))
+    while True:
+        members = component.select(F.col("node").alias("id"), "component")
+        if full is None:
+            # Nodes without a link yet are blocks of their own.
+            members = nodes.select("id").join(members, "id", "left").select("id", F.coalesce("component", F.lit(-1 << 63)).alias("component"))
+        else:
+            held = members.join(full, F.col("id") == F.col("a"), "left_semi").select("component").distinct()
+            members = members.join(held, "component")
+        members = stored(members.select("id", "component").join(counted, "id", "left_anti"), "nn-members")
+        if members.isEmpty():
+            return component, counted
+        found = compare(nodes, members, threshold)
+        links = links.unionByName(found.filter("a <> b").select("a", "b"))
+        sums = found.groupBy(F.col("a").alias("id")).agg(F.sum("linked").alias("linked"))
+        now = members.select("id").join(sums, "id", "left").select("id", F.coalesce("linked", F.lit(0)).alias("linked"))
+        counted = stored(counted.unionByName(now), "nn-counted")
+        component = stored(connected_components(links, "nn-components"), "nn-component")
 
 
 def near_embeddings(embeddings: DataFrame, threshold: float = THRESHOLD, length: int = NEIGHBOURS) -> DataFrame:
@@ -283,12 +379,12 @@ def near_embeddings(embeddings: DataFrame, threshold: float = THRESHOLD, length:
     # Equal vectors are one node, named by the smallest id, with their number as its weight.
     classes = found.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     nodes = stored(classes.select("id", "weight", "vector"), "nn-nodes")
-    graph, truth, _ = neighbour_graph(nodes.select("id", "vector"), threshold, length)
-    links = graph.select("a", "b", "similarity").unionByName(truth).filter(F.col("similarity") >= threshold)
+    graph, _, _ = neighbour_graph(nodes.select("id", "vector"), threshold, length)
+    links = graph.filter(F.col("similarity") >= threshold)
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = stored(links, "nn-links")
-    component = stored(connected_components(links, "nn-components"), "nn-component")
-    counted, saturated = enlarged(nodes, graph, component, threshold, length)
+    full = stored(saturated_nodes(graph, threshold, length), "nn-full")
+    component, counted = linked_exactly(nodes, links, full, threshold)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     listed = both.join(nodes.select(F.col("id").alias("b"), "weight"), "b").groupBy("a").agg(F.sum("weight").alias("listed"))
     of_class = nodes.select("id", "weight", "vector").join(component.withColumnRenamed("node", "id"), "id", "left")

@@ -141,6 +141,42 @@ def test_near_embeddings(spark, small):
     assert nn_descent.near_embeddings(table.limit(0)).count() == 0
 
 
+def crossing_groups(rng, n=700, size=12):
+    """Unlinked vectors and, last, two tight groups of which every vector links with all of the other group, but less closely."""
+    far = rng.standard_normal((n, 64))
+    one = rng.standard_normal(64)
+    aside = rng.standard_normal(64)
+    aside -= one * (aside @ one) / (one @ one)
+    other = one + np.tan(np.arccos(0.965)) * aside * np.linalg.norm(one) / np.linalg.norm(aside)
+    near = [v + 0.01 * rng.standard_normal(64) for v in [one] * size + [other] * size]
+    return np.concatenate([far, near])
+
+
+def brute_links(rows):
+    x = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.95
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def same_as_brute_force(spark, rows, ids):
+    linked = brute_links(rows)
+    wanted = components(ids, [(ids[i], ids[j]) for i, j in zip(*map(list, np.nonzero(linked)))])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, rows)], "vec_id long, embedding array<double>")
+    found = nn_descent.near_embeddings(table).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in found} == {(i, int(linked[k].sum()), wanted[i]) for k, i in enumerate(ids)}
+
+
+def test_links_between_groups_that_fill_their_lists(spark):
+    rows = crossing_groups(np.random.default_rng(6))
+    x = rows[-24:] / np.linalg.norm(rows[-24:], axis=1, keepdims=True)
+    assert (x @ x.T).min() >= 0.95 and (x[:12] @ x[:12].T).min() > (x[:12] @ x[12:].T).max()
+    # Ids that the audit draws last: its links cannot help.
+    draw = F.pmod(F.xxhash64(F.col("id"), F.lit(nn_descent.SEED)), F.lit(1 << 20))
+    last = [r.id for r in spark.range(10_000, 11_000).orderBy(F.desc(draw)).limit(24).collect()]
+    same_as_brute_force(spark, rows, [*range(len(rows) - 24), *last])
+
+
 def test_fingerprints(small, odd):
     for docs in (small("documents"), odd):
         rows = [(r.doc_id, r.text or "") for r in docs.collect()]
