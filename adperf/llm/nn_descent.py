@@ -2,7 +2,8 @@
 
 A neighbour graph starts from random-projection orders and is refined through joins of neighbours of neighbours. Each
 round, a vector's forward and sampled reverse neighbours are compared with each other, and every vector keeps its best.
-Rounds go on while lists change and while an audit against brute force finds links missing. A component that holds a list full of links is compared with all nodes
+Rounds go on, with longer lists, while they find links and while an audit against brute force finds links missing; if they
+end before that, all nodes are compared with all. A component that holds a list full of links is compared with all nodes
 too, but for those that a bound on angles excludes. Equal vectors are one node throughout.
 """
 
@@ -21,10 +22,12 @@ THRESHOLD = 0.95
 NEIGHBOURS = 10  # length of a list, until it is saturated
 ORDERS = 8  # random-projection orders of the first graph
 AHEAD = 3  # predecessors in an order that a vector is compared with
-ROUNDS = 8  # at most
-SETTLED = 0.01  # of all list entries: fewer changes end the rounds
-AUDIT = 256  # vectors whose links are audited by brute force, drawn by hash
-RECALL = 0.99  # of the audited links; below it, rounds go on
+ROUNDS = 12  # at most; what they leave unsettled or unproven is compared exactly
+STEADY = 6  # rounds before lists grow in any case
+GROWTH = 4  # lists grow to so many times their first length
+AUDIT, AUDIT_MOST = 256, 16_384  # vectors whose links are audited by brute force, drawn by hash: first, and at most
+AUDITED = 64  # audited vectors that must have links, else more are drawn
+RECALL = 1.0  # of the audited links; below it, rounds go on
 BLOCK = 512  # vectors of a block
 CHUNK = 16 << 20  # bytes of vectors that travel with the tasks of one pass
 SEED = 17
@@ -123,12 +126,13 @@ def best(edges: DataFrame, length: int) -> DataFrame:
     return both.withColumn("rank", rank).filter(F.col("rank") <= length).drop("rank")
 
 
-def refine(graph: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
+def refine(graph: DataFrame, nodes: DataFrame, length: int, turn: int) -> DataFrame:
     """Pairs (a, b, similarity) among each vector's neighbours that would enter one of their lists.
 
-    A centre has itself, its list and at most ``length`` reverse neighbours, so no group exceeds 2 * length + 1 rows.
+    A centre has itself, its list and at most ``length`` reverse neighbours, drawn anew each turn, so no group exceeds
+    2 * length + 1 rows.
     """
-    reverse = Window.partitionBy("centre").orderBy(F.xxhash64("member", "centre"))
+    reverse = Window.partitionBy("centre").orderBy(F.xxhash64("member", "centre", F.lit(turn)))
     backward = graph.select(F.col("b").alias("centre"), F.col("a").alias("member"))
     backward = backward.withColumn("rank", F.row_number().over(reverse)).filter(F.col("rank") <= length).drop("rank")
     groups = graph.select(F.col("a").alias("centre"), F.col("b").alias("member")).unionByName(backward)
@@ -211,33 +215,55 @@ def audit(nodes: DataFrame, threshold: float, size: int = AUDIT) -> DataFrame:
     return nodes.mapInArrow(run, "a long, b long, similarity double")
 
 
+def audited(nodes: DataFrame, threshold: float) -> tuple[DataFrame, bool]:
+    """The audit's links, and whether they say enough: AUDITED of its vectors have links, or it holds all vectors. More
+    vectors are drawn until one is so or AUDIT_MOST are reached."""
+    n, size = nodes.count(), AUDIT
+    while True:
+        truth = stored(audit(nodes, threshold, size), "nn-audit")
+        if size >= n or truth.select("a").distinct().count() >= AUDITED:
+            return truth, True
+        if size >= AUDIT_MOST:
+            return truth, False
+        size *= 4
+
+
 def saturated_nodes(graph: DataFrame, threshold: float, length: int) -> DataFrame:
     """(a): nodes whose list holds nothing but links, so that it may lack others."""
     links = graph.filter(F.col("similarity") >= threshold).groupBy("a").agg(F.count("*").alias("n"))
     return links.filter(F.col("n") >= length).select("a")
 
 
-def neighbour_graph(nodes: DataFrame, threshold: float, length: int) -> tuple[DataFrame, DataFrame, float]:
-    """Lists of neighbours, the audited links, and the audited recall: links found by lists that have room, or joined by
-    a chain of listed links of a saturated list's component."""
+def neighbour_graph(nodes: DataFrame, threshold: float, length: int) -> tuple[DataFrame, int, float, bool]:
+    """Lists of neighbours, their length, the audited recall and whether the lists can be relied on.
+
+    The recall is that of the lists alone: an audited link counts as found if a list has it, or if one of its nodes is
+    saturated and so will be compared with all nodes. Lists are reliable when a round found no link for a list with room,
+    and the audit, which must say enough, misses none. Lists and samples of reverse neighbours grow otherwise.
+    """
+    most = GROWTH * length
     graph = stored(best(first_graph(nodes), length), "nn-graph")
-    truth = stored(audit(nodes, threshold), "nn-audit")
-    links = truth.count()
-    entries = nodes.count() * length
-    recall = 1.0
-    for _ in range(ROUNDS):
-        new = refine(graph, nodes, length)
+    truth, enough = audited(nodes, threshold)
+    if not enough:
+        return graph, length, 0.0, False
+    total = truth.count()
+    recall = 0.0
+    for turn in range(ROUNDS):
+        new = refine(graph, nodes, length, turn)
         improved = stored(best(graph.unionByName(new), length), "nn-graph")
-        changed = improved.join(graph, ["a", "b"], "left_anti").count()
+        full = saturated_nodes(improved, threshold, length)
+        added = improved.filter(F.col("similarity") >= threshold).join(graph, ["a", "b"], "left_anti")
+        settled = added.join(full, "a", "left_anti").isEmpty()
         graph = improved
-        if links:
-            full = graph.filter(F.col("similarity") >= threshold).groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") >= length)
-            missing = truth.join(graph, ["a", "b"], "left_anti").join(full.select("a"), "a", "left_anti")
-            listed = graph.select(F.col("b").alias("a"), F.col("a").alias("b"))
-            recall = 1 - missing.join(listed, ["a", "b"], "left_anti").count() / links
-        if changed <= SETTLED * entries and recall >= RECALL:
-            break
-    return graph, truth, recall
+        missing = truth.join(graph, ["a", "b"], "left_anti")
+        missing = missing.join(graph.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+        missing = missing.join(full, "a", "left_anti").join(full.select(F.col("a").alias("b")), "b", "left_anti")
+        recall = 1 - missing.count() / total if total else 1.0
+        if settled and recall >= RECALL:
+            return graph, length, recall, True
+        if (settled or turn >= STEADY) and length < most:
+            length *= 2
+    return graph, length, recall, False
 
 
 def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -379,11 +405,11 @@ def near_embeddings(embeddings: DataFrame, threshold: float = THRESHOLD, length:
     # Equal vectors are one node, named by the smallest id, with their number as its weight.
     classes = found.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     nodes = stored(classes.select("id", "weight", "vector"), "nn-nodes")
-    graph, _, _ = neighbour_graph(nodes.select("id", "vector"), threshold, length)
+    graph, length, _, reliable = neighbour_graph(nodes.select("id", "vector"), threshold, length)
     links = graph.filter(F.col("similarity") >= threshold)
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = stored(links, "nn-links")
-    full = stored(saturated_nodes(graph, threshold, length), "nn-full")
+    full = stored(saturated_nodes(graph, threshold, length), "nn-full") if reliable else None
     component, counted = linked_exactly(nodes, links, full, threshold)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     listed = both.join(nodes.select(F.col("id").alias("b"), "weight"), "b").groupBy("a").agg(F.sum("weight").alias("listed"))

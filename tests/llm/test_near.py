@@ -177,6 +177,17 @@ def test_links_between_groups_that_fill_their_lists(spark):
     same_as_brute_force(spark, rows, [*range(len(rows) - 24), *last])
 
 
+def test_unfinished_graph_is_completed(spark, monkeypatch):
+    """Lists that no round improves, and an audit of few vectors: the audit notices, and nothing is missing in the result."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((900, 64))
+    rows = np.concatenate([base, base[:300] + 0.1 * rng.standard_normal((300, 64)), crossing_groups(rng, 0)])
+    monkeypatch.setattr(nn_descent, "refine", lambda graph, *_: graph.limit(0).select("a", "b", "similarity"))
+    monkeypatch.setattr(nn_descent, "ORDERS", 1)
+    monkeypatch.setattr(nn_descent, "AUDITED", 10, raising=False)
+    same_as_brute_force(spark, rows, list(range(len(rows))))
+
+
 def test_fingerprints(small, odd):
     for docs in (small("documents"), odd):
         rows = [(r.doc_id, r.text or "") for r in docs.collect()]
