@@ -1184,6 +1184,11 @@ def streamed_windows(s, d):
     return without_zone(rollup.run_rollup(windows, shared_dir(s, "windows"), shared_dir(s, "progress")), "period_start")
 
 
+def streamed_all_windows(s, d):
+    pulls = rollup.stream_events(s, d)
+    return without_zone(rollup.run_whole_rollup(pulls, shared_dir(s, "rollup"), shared_dir(s, "progress")), "period_start")
+
+
 def stored_metrics(rows: DataFrame) -> DataFrame:
     """Metric rows written once: the alarms read them for their periods and for their spine."""
     return jobs.store(rows, shared_dir(rows.sparkSession, "metrics"))
@@ -1233,6 +1238,7 @@ add(
         "SELECT * FROM roll WHERE period_start + INTERVAL 6 HOURS <= (SELECT MAX(ts) FROM pm) - INTERVAL 1 DAY", "roll", "pm"
     ),
 )
+add("r02_streamed_all_windows", streamed_all_windows, o.sql("SELECT * FROM roll", "roll"))
 add(
     "r03_alarm_catalogue",
     collector_alarms,

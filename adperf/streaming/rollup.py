@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.alarms import CATALOGUE, evaluate_alarms
 from ..operators.metrics import event_rollup
 from ..sources.tables import pull_metrics_from
+from .ingest import Store, one_of, touched_periods
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -37,6 +38,36 @@ def run_rollup(windows: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return windows.sparkSession.read.schema(windows.schema).parquet(out)
 
 
+def run_whole_rollup(pulls: DataFrame, out: str, checkpoint: str, period: str = "6 hours", keys=()) -> DataFrame:
+    """Runs the stream over what is available; ``out`` then holds the windows of all rows so far, open ones included.
+
+    Rows are kept by day of their window and by batch, and the days that a batch touches are computed anew, so a row
+    counts however late it is. A batch that runs again replaces its own partitions. A new checkpoint numbers its batches
+    anew and needs a new ``out``.
+    """
+    spark = pulls.sparkSession
+    store = Store(spark, out)
+    rows_path, windows_path = store.path("pulls"), store.path("windows")
+
+    def write(rows: DataFrame, path: str, *by: str) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        day = F.to_date(F.window("ts", period)["start"]).alias("period")
+        rows = batch.select(*pulls.columns, day).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        write(rows, rows_path, "period", "batch")
+        kept = batch.sparkSession.read.schema(rows.schema).parquet(rows_path)
+        days = touched_periods(kept.filter(F.col("batch") == batch_id))
+        if days:
+            windows = event_rollup(kept.filter(one_of("period", days)), period, keys)
+            write(windows.withColumn("period", F.to_date("period_start")).hint("rebalance", "period"), windows_path, "period")
+
+    query = pulls.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    none = event_rollup(spark.createDataFrame([], pulls.schema), period, keys)
+    return spark.read.schema(none.schema).parquet(windows_path).select(*none.columns) if store.exists("windows") else none
+
+
 def alarms_of_batch(spark: SparkSession, metric_path: str, since, alarms=CATALOGUE) -> DataFrame:
     """Alarm states of the periods from the one of ``since`` on, for use after each micro-batch.
 
