@@ -73,6 +73,41 @@ def test_language_of_odd_rows(spark, odd, small):
     assert langid.identify_language(odd.limit(0)).count() == 0
 
 
+def foreign(words):
+    """Texts in languages and scripts that no test table has."""
+    rnd = random.Random(3)
+    word = lambda chars, least, most: "".join(rnd.choice(chars) for _ in range(rnd.randint(least, most)))
+    cyrillic = [word("абвгдежзийклмнопрстуфхцчшщыэюя", 2, 9) for _ in range(800)]
+    han = [word([chr(c) for c in range(0x4E00, 0x9000)], 1, 4) for _ in range(3000)]
+    plain = [chr(c) for r in ((65, 91), (97, 123), (48, 58)) for c in range(*r)] + ["+", "/"]
+    dutch = (
+        "de het een van en in op te dat die is was voor met zijn niet aan ook als maar om door over bij uit naar wij zij hebben worden geen nog "
+        "kunnen moeten gaan jaar mensen water huis straat nieuwe oude regering onderzoek volgens terwijl omdat echter waarschijnlijk gisteren "
+        "vandaag morgen schrijven lezen geschiedenis wetenschap vrijheid gezondheid"
+    ).split()
+    texts = {name: " ".join(rnd.choice(of) for _ in range(words)) for name, of in (("cyrillic", cyrillic), ("han", han), ("dutch", dutch))}
+    return texts | {"base64": " ".join(word(plain, 60, 60) for _ in range(max(1, words // 10)))}
+
+
+def test_foreign_texts_are_rejected_at_any_length(spark):
+    model = langid.fit(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
+    for words in (20, 200, 5000, 50_000):
+        for name, text in foreign(words).items():
+            language, score, rejected = model.nearest(text)
+            # A short text in a related language is beyond what these n-grams can tell.
+            assert rejected or (name, words) == ("dutch", 20), (name, words, language, score)
+    assert (model.lowest[:, 1:] >= model.lowest[:, :-1]).all()
+
+
+def test_lowest_cosines_do_not_follow_one_row():
+    import numpy as np
+
+    cosines, of_band = np.linspace(0.5, 0.9, 1000), np.arange(1000) % 5
+    wanted = langid.lowest_cosines(cosines, of_band)
+    cosines[4] = 0.01
+    assert np.allclose(langid.lowest_cosines(cosines, of_band), wanted, atol=0.01) and wanted.min() > 0.17
+
+
 @pytest.mark.parametrize("k", [1, 3])
 def test_spherical_means(k):
     import numpy as np
