@@ -13,6 +13,7 @@ already connected or proven to be no link.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 
@@ -26,15 +27,13 @@ from adperf.llm.components import connected_components
 
 WORDS = 5  # of a shingle
 PERCENT = 85  # least similarity of a link
-ROWS, BANDS = 5, 25  # a pair at 0.85 shares no band with probability (1 - 0.85^5)^25 < 1e-6
+ROWS, BANDS = 5, 25  # of samples in a band, and least bands: a pair at 0.85 shares no band with probability (1 - 0.85^5)^25 < 1e-6
+MISSED = 1e-6  # probability that a pair at the least similarity shares no band; sets the bands below 0.85
 SKETCH_BITS = 512
 MARGIN = 6.0  # standard deviations that the estimate may lie below the threshold
 CHUNK = 4096  # shingles hashed at a time
 PARTS = 64  # of the hash space in which shared shingles are counted
 
-_rng = np.random.default_rng(20240501)
-_FACTORS = _rng.integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)
-_OFFSETS = _rng.integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,19 +59,33 @@ def shingles(text: str, width: int = WORDS) -> np.ndarray:
     return np.unique(_mixed(rolled))
 
 
-def samples(hashes: np.ndarray) -> np.ndarray:
-    """ROWS * BANDS minima of the set under random linear hash functions."""
-    least = np.full(ROWS * BANDS, np.iinfo(np.uint64).max, np.uint64)
+def band_count(percent: int = PERCENT) -> int:
+    """As many bands as a pair at that similarity needs to share one but with probability MISSED."""
+    return max(BANDS, math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** ROWS)))) if percent < 100 else BANDS
+
+
+@functools.cache
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of ``n`` random linear hash functions."""
+    rng = np.random.default_rng(20240501)
+    return rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
+
+
+def samples(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Minima of the set under random linear hash functions, ROWS for each band."""
+    n = ROWS * band_count(percent)
+    factors, offsets = _functions(n)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), CHUNK):
-        part = hashes[at : at + CHUNK, None] * _FACTORS + _OFFSETS
+        part = hashes[at : at + CHUNK, None] * factors + offsets
         np.minimum(least, part.min(axis=0), out=least)
     return least
 
 
 def bands(least: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band."""
-    key = np.arange(BANDS, dtype=np.uint64)
-    for column in least.reshape(BANDS, ROWS).T:
+    key = np.arange(len(least) // ROWS, dtype=np.uint64)
+    for column in least.reshape(-1, ROWS).T:
         key = _mixed(key * _P + column)
     return key.view(np.int64)
 
@@ -86,18 +99,18 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
 
 def largest_xor(percent: int = PERCENT) -> int:
     """The largest population count of an XOR at which a pair of that similarity is still to be expected."""
-    k, s = ROWS * BANDS, percent / 100
+    k, s = ROWS * band_count(percent), percent / 100
     differ = 2 * (k * (1 - s) + MARGIN * math.sqrt(k * s * (1 - s)))
     return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-2 * differ / SKETCH_BITS)) + MARGIN * math.sqrt(SKETCH_BITS) / 4)
 
 
-def sketch_similarity(xor_count: int) -> float:
+def sketch_similarity(xor_count: int, percent: int = PERCENT) -> float:
     """The odd sketches' estimate of the similarity."""
-    n, k = SKETCH_BITS, ROWS * BANDS
+    n, k = SKETCH_BITS, ROWS * band_count(percent)
     return 1 + n / (4 * k) * math.log(max(1e-9, 1 - 2 * xor_count / n))
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, ``set_key`` (128 bits over the set, NULL of an empty one), bands, sketch."""
 
     def run(batches):
@@ -108,7 +121,7 @@ def features(docs: DataFrame) -> DataFrame:
                 found = shingles(text)
                 row = (len(found), None, None, None)
                 if len(found):
-                    least = samples(found)
+                    least = samples(found, percent)
                     row = (len(found), hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest(), bands(least), odd_sketch(least))
                 for to, value in zip(out, row):
                     to.append(value)
@@ -190,7 +203,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     its component_id is NULL and it is kept. Rows that share a doc_id are one document; each row is returned. Other
     columns are ignored; an empty table gives no rows.
     """
-    found = stored(features(docs), "near-features")
+    found = stored(features(docs, percent), "near-features")
     # Classes of equal sets, named by their smallest id: grouped minima, so a class of any size is one row per task.
     classes = found.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"))
     classes = stored(classes, "near-classes")

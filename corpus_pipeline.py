@@ -13,6 +13,9 @@ from adperf.llm.common import read, stored
 from adperf.llm.queries import vocabulary
 
 
+SHARED = 80  # hundredths of their shingles that two near copies have in common at least
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models reject go."""
     return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
@@ -25,7 +28,7 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return odd_sketch.drop_near_duplicates(docs)
+    return odd_sketch.drop_near_duplicates(docs, percent=SHARED)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
