@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, langid, mixing, nn_descent, odd_sketch, packing, spotsigs, tokens, toxicity, urls
-from adperf.llm.common import read
+from adperf.llm import chat, langid, mixing, nn_descent, odd_sketch, packing, periodic, quality, spotsigs, tokens, toxicity, urls, whitening
+from adperf.llm.common import read, stored
 
 
 def vocabulary(name: str) -> str:
@@ -58,11 +58,30 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(periodic.with_planted_period(read(spark, sf_dir, "documents"))))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(quality.ledger(read(spark, sf_dir, "documents")))
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.ablations(stored(quality.ledger(read(spark, sf_dir, "documents")), "quality-ledger"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_spot_signatures, op3_url_filter, op4_source_mix, op5_embedding_links, op6_packing, op7_toxicity, op8_language_id,
-        op9_chat_formatting, op10_near_duplicates,
+        op9_chat_formatting, op10_near_duplicates, op11_periodic_runs, op12_embedding_whitening, op13_quality_rules, quality_ablations,
     )
 }
-ORACLE = {"op3_url_filter": urls.SQL, "op4_source_mix": mixing.SQL, "op9_chat_formatting": chat.SQL}
+ORACLE = {
+    "op3_url_filter": urls.SQL, "op4_source_mix": mixing.SQL, "op9_chat_formatting": chat.SQL, "op13_quality_rules": quality.SQL,
+    "quality_ablations": quality.ABLATION_SQL,
+}
