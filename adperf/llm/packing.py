@@ -56,8 +56,9 @@ class WordTokenizer:
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.PLAIN(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.parts.__getitem__, text.lower().split()))
+        lowered = text.lower()  # which can leave the plain letters, as Ə does
+        if self.PLAIN(text) and self.PLAIN(lowered) and not any(s in text for s in self.special):
+            return b"".join(map(self.parts.__getitem__, lowered.split()))
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
 

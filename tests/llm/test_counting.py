@@ -44,6 +44,16 @@ def test_counts_of_a_table(small, odd, sentencepiece_model):
     assert count_tokens(odd.limit(0), PIECES).count() == 0
 
 
+def test_word_ids_of_every_plain_character():
+    own = WordTokenizer(WORDS, cache=50)
+    letters = [chr(c) for c in range(0x180, 0x260)]
+    admitted = [chr(c) for c in range(0x250) if WordTokenizer.PLAIN(chr(c))]
+    rnd = random.Random(9)
+    texts = [f"a{c}b {c} 1{c}" for c in admitted + letters] + ["".join(rnd.choices(admitted, k=30)) for _ in range(400)]
+    for text in texts + ["Əsas ƁƊ haƙuri Ƙ", "aƁb"]:
+        assert own.encode(text) == array("I", own.whole.encode(text, add_special_tokens=False).ids).tobytes(), text
+
+
 def test_word_ids_equal_the_library():
     own = WordTokenizer(WORDS, cache=50)
     for text in strange():
