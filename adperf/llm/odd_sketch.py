@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adperf.llm.common import stored, whole_text
+from adperf.llm.common import possibly_wanted, stored, whole_text
 from adperf.llm.components import connected_components
 
 WORDS = 5  # of a shingle
@@ -98,10 +98,17 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
 
 
 def largest_xor(percent: int = PERCENT) -> int:
-    """The largest population count of an XOR at which a pair of that similarity is still to be expected."""
-    k, s = ROWS * band_count(percent), percent / 100
-    differ = 2 * (k * (1 - s) + MARGIN * math.sqrt(k * s * (1 - s)))
-    return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-2 * differ / SKETCH_BITS)) + MARGIN * math.sqrt(SKETCH_BITS) / 4)
+    """The largest population count of an XOR at which a pair of that similarity is still to be expected.
+
+    The count varies with the number of samples that differ (binomial) and with the bits that two of them share; MARGIN
+    deviations of both together are allowed.
+    """
+    n, k, s = SKETCH_BITS, ROWS * band_count(percent), percent / 100
+    flips = 2 * k * (1 - s)
+    mean = n / 2 * (1 - (1 - 2 / n) ** flips)
+    by_bits = n / 4 * (1 + (n - 1) * (1 - 4 / n) ** flips - n * (1 - 2 / n) ** (2 * flips))
+    by_samples = k * s * (1 - s) * (2 * (1 - 2 / n) ** flips) ** 2
+    return math.ceil(mean + MARGIN * math.sqrt(max(0.0, by_bits) + by_samples))
 
 
 def sketch_similarity(xor_count: int, percent: int = PERCENT) -> float:
@@ -110,6 +117,10 @@ def sketch_similarity(xor_count: int, percent: int = PERCENT) -> float:
     return 1 + n / (4 * k) * math.log(max(1e-9, 1 - 2 * xor_count / n))
 
 
+def set_key(found: np.ndarray) -> str:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest()
+
+
 def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, ``set_key`` (128 bits over the set, NULL of an empty one), bands, sketch."""
 
@@ -122,7 +133,7 @@ def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 row = (len(found), None, None, None)
                 if len(found):
                     least = samples(found, percent)
-                    row = (len(found), hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest(), bands(least), odd_sketch(least))
+                    row = (len(found), set_key(found), bands(least), odd_sketch(least))
                 for to, value in zip(out, row):
                     to.append(value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(out, list(schema)[1:]))], schema=schema)
@@ -132,15 +143,22 @@ def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, set) of the documents named in ``ids`` (id), from their whole texts."""
+    """(id, set) of the documents named in ``ids`` (id, set_key), from their whole texts. The scan is thinned by a bitmap of the
+    ids first, so of the other texts few are shuffled."""
 
     def run(batches):
         for batch in batches:
-            found = [shingles(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "set"])
+            kept, sets = [], []
+            for i, key, text in zip(*(batch.column(c).to_pylist() for c in ("id", "set_key", "text"))):
+                found = shingles(text)
+                if set_key(found) == key:  # rows that share an id may hold other texts
+                    kept.append(i)
+                    sets.append(found.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["id", "set"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text(docs).alias("text")).join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, "id long, set array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text(docs).alias("text"))
+    wanted = possibly_wanted(texts, "id", ids).join(ids, "id").select("id", "set_key", "text")
+    return wanted.mapInArrow(run, "id long, set array<long>").dropDuplicates(["id"])
 
 
 def _xor_count(a: str, b: str) -> Column:
@@ -182,12 +200,8 @@ def _can_share(a: str, b: str, percent: int) -> Column:
     return most * (100 + percent) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, name: str, sets: DataFrame | None = None) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity. ``sets`` holds the sets (id, set) if they are stored already."""
-    pairs = stored(pairs.select("a", "b").distinct(), f"{name}-pairs")
-    if sets is None:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = stored(full_sets(docs, ids).dropDuplicates(["id"]), f"{name}-sets")
+def confirmed(pairs: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets (id, set) have the similarity."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -200,16 +214,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Documents are linked when their sets of five-word shingles have at least ``percent`` hundredths of their union in common.
     NULL, empty and white-space texts have an empty set and link with nothing. A row without doc_id links with nothing,
-    its component_id is NULL and it is kept. Rows that share a doc_id are one document; each row is returned. Other
-    columns are ignored; an empty table gives no rows.
+    its component_id is NULL and it is kept. Rows that share a doc_id are one document; if their texts differ, its set is the
+    one of them with the smallest digest, and n_shingles is each row's own. Each row is returned. Other columns are
+    ignored; an empty table gives no rows.
     """
     found = stored(features(docs, percent), "near-features")
-    # Classes of equal sets, named by their smallest id: grouped minima, so a class of any size is one row per task.
-    classes = found.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    classes = stored(classes, "near-classes")
+    # A document's set, and classes of equal sets, named by their smallest id: grouped minima, so a class of any size is one row per task.
+    keys = found.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("set_key").alias("set_key"))
+    keys = stored(keys, "near-keys")
+    classes = stored(keys.groupBy("set_key").agg(F.min("doc_id").alias("id")), "near-classes")
     member = found.join(classes.select(F.col("set_key").alias("own_key"), F.col("id")), F.col("doc_id") == F.col("id"))
-    member = member.filter("set_key = own_key").dropDuplicates(["id"]).select("id", F.col("n_shingles").alias("n"), "bands", "sketch")
-    member = stored(member, "near-members")
+    member = member.filter("set_key = own_key").dropDuplicates(["id"])
+    member = stored(member.select("id", "set_key", F.col("n_shingles").alias("n"), "bands", "sketch"), "near-members")
     bucketed = member.select(F.explode("bands").alias("band"), "id")
     buckets = bucketed.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     buckets = stored(buckets, "near-buckets")
@@ -220,7 +236,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = stars.join(sketches.select("id", F.struct("n", "sketch").alias("x")), "id")
     stars = stars.join(sketches.select(F.col("id").alias("centre"), F.struct("n", "sketch").alias("y")), "centre")
     stars = stars.filter(_alike("x", "y", percent)).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-    links = stored(confirmed(stars, docs, percent, "near-stars"), "near-links")
+    stars = stored(stars.distinct(), "near-stars")
+    named_ids = stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = stored(member.select("id", "set_key").join(named_ids, "id", "left_semi"), "near-star-ids")
+    sets = stored(full_sets(docs, ids), "near-star-sets")
+    links = stored(confirmed(stars, percent, sets), "near-links")
     component = stored(connected_components(links, "near-components"), "near-component")
 
     # Members that their bucket's main component does not hold, against all others of the bucket.
@@ -230,7 +250,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     main = parts.groupBy("band").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds"))
     named = named.join(main.filter("kinds > 1").select("band", "main"), "band")
     named = stored(named, "near-open")
-    sets = stored(full_sets(docs, named.select("id").distinct()).dropDuplicates(["id"]), "near-open-sets")
+    ids = stored(member.select("id", "set_key").join(named.select("id").distinct(), "id", "left_semi"), "near-open-ids")
+    sets = stored(full_sets(docs, ids), "near-open-sets")
     bounds = shared_parts(sets).withColumn("most", F.aggregate("parts", F.lit(0), lambda total, n: total + n))
     # A member that shares too little with all others together links with none of them.
     able = sketches.join(bounds, "id").filter(F.col("most") * 100 >= F.col("n") * percent)
@@ -242,7 +263,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     apart = (F.col("x.component") != F.col("y.component")) & new & _alike("x", "y", percent) & _can_share("x", "y", percent)
     rest = strays.join(other, (F.col("band") == F.col("other_band")) & apart)
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-    rest = stored(confirmed(rest, docs, percent, "near-rest", sets), "near-rest-links")
+    rest = stored(confirmed(stored(rest.distinct(), "near-rest"), percent, sets), "near-rest-links")
     if not rest.isEmpty():
         merged = component.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest)
         component = stored(connected_components(merged, "near-components"), "near-component")
@@ -250,7 +271,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Back to all documents: a class's component, else the class itself.
     of_class = classes.join(component.withColumnRenamed("node", "id"), "id", "left")
     of_class = of_class.select(F.col("set_key"), F.coalesce("component", "id").alias("class_component"))
-    out = found.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    of_document = keys.join(of_class, "set_key").select("doc_id", "class_component")
+    out = found.select("doc_id", "n_shingles").join(of_document, "doc_id", "left")
     component_id = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("class_component", "doc_id"))
     out = out.select("doc_id", "n_shingles", component_id.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

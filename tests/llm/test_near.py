@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from adperf.llm import nn_descent, odd_sketch, spotsigs
+from adperf.llm import common, nn_descent, odd_sketch, spotsigs
 from adperf.llm.components import connected_components
 
 
@@ -29,10 +29,10 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def expected_components(rows):
+def expected_components(rows, percent=85):
     sets = {i: shingle_set(t) for i, t in rows if i is not None}
     ids = sorted(sets)
-    linked = [(a, b) for k, a in enumerate(ids) for b in ids[:k] if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    linked = [(a, b) for k, a in enumerate(ids) for b in ids[:k] if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     return sets, components(ids, linked)
 
 
@@ -75,6 +75,45 @@ def test_near_documents(spark, small, odd):
     assert odd_sketch.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    base, other = ([f"{c}{i}" for i in range(100)] for c in "ab")
+    texts = {"base": base, "other": other, "base x": [*base, "x"], "other x": [*other, "x"], "other y": [*other, "y"]}
+    rows = [(1, "base"), (1, "other"), (2, "base x"), (3, "other x"), (4, "other y"), (1, ""), (1, "base")]
+    key = {name: odd_sketch.set_key(odd_sketch.shingles(" ".join(w))) for name, w in texts.items()}
+    chosen = min(("base", "other"), key=key.get)
+    wanted = {1: 1, 2: 1 if chosen == "base" else 2, 3: 1 if chosen == "other" else 3, 4: 1 if chosen == "other" else 3}
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame([(i, " ".join(texts.get(t, []))) for i, t in rows], "doc_id long, text string").repartition(parts)
+        found = odd_sketch.near_duplicates(docs).collect()
+        assert sorted((r.doc_id, r.component_id) for r in found) == sorted((i, wanted[i]) for i, _ in rows)
+        assert sorted(r.n_shingles for r in found) == [0, 96, 96, 96, 97, 97, 97]
+        assert sorted(r.doc_id for r in odd_sketch.drop_near_duplicates(docs).collect()) == sorted(set(wanted.values()))
+
+
+def test_scan_is_thinned_without_losing_rows(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.col("id"), F.lit("x").alias("text"))
+    wanted = spark.range(0, 20_000, 97)
+    left = common.possibly_wanted(rows, "id", wanted)
+    assert left.columns == ["id", "text"]
+    assert wanted.join(left, "id", "left_anti").count() == 0 and left.count() < 2_000
+    monkeypatch.setattr(common, "MOST_BITS", 64)  # far too few: more rows pass, none is lost
+    assert wanted.join(common.possibly_wanted(rows, "id", wanted), "id", "left_anti").count() == 0
+    assert common.possibly_wanted(rows, "id", wanted.limit(0)).count() == 0
+
+
+def test_largest_xor_bounds_the_estimate():
+    rng = np.random.default_rng(5)
+    for percent, n in ((85, 400), (80, 400), (95, 1000)):
+        both = int(n * 2 * percent / (100 + percent)) + 1
+        counts = []
+        for _ in range(60):
+            a = rng.integers(0, 1 << 63, 2 * n - both, dtype=np.uint64)
+            x, y = (odd_sketch.odd_sketch(odd_sketch.samples(np.unique(s), percent)) for s in (a[:n], a[n - both :]))
+            counts.append(int(np.bitwise_count((x ^ y).view(np.uint64)).sum()))
+        limit = odd_sketch.largest_xor(percent)
+        assert max(counts) <= limit < np.mean(counts) + 7.5 * max(np.std(counts), 5)
+
+
 def copies_of_many_edits(n=240):
     """One text with few to many words replaced: some copies link with most others, some with none, their buckets are shared."""
     rnd, base = random.Random(8), [f"w{i}" for i in range(200)]

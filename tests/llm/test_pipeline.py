@@ -27,7 +27,7 @@ def test_stages(spark):
     labels = read(spark, SMALL, "labels")
     assert ids(outputs[0]) == ids(toxicity.score_toxicity(inputs[0], labels).filter("predicted = 0"))
     assert ids(outputs[1]) == ids(langid.identify_language(inputs[1]).filter("NOT rejected"))
-    _, component = expected_components([(r.doc_id, r.text) for r in inputs[2].collect()])
+    _, component = expected_components([(r.doc_id, r.text) for r in inputs[2].collect()], corpus_pipeline.SHARED)
     assert ids(outputs[2]) == sorted(set(component.values()))
     assert ids(outputs[3]) == ids(mixing.mix(inputs[3], mixing.WEIGHTS))
     own = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
