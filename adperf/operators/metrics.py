@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.dates import instant
 from ..functions.numbers import percent, round_half_up, safe_ratio
 from ..settings import Thresholds
 from ..sources.schema import METRIC_COLUMNS
@@ -48,6 +49,50 @@ def pull_success(raw: DataFrame) -> DataFrame:
     )
 
 
+def collection_runs(raw: DataFrame) -> DataFrame:
+    """Totals, successful and failed pulls of every collection run, the run being the end of the documents' date range.
+
+    A pull in several documents counts once and has failed when both halves are missing in all of them. Totals are added
+    inside a document first, so no element is a row of its own.
+    """
+    elements = F.coalesce("analytics.elements", F.array().cast(raw.schema["analytics"].dataType["elements"].dataType))
+
+    def inside(field: str, zero) -> Column:
+        return F.aggregate(elements, zero, lambda total, e: total + F.coalesce(e[field], F.lit(0)))
+
+    no_analytics = F.col("analytics").isNull() | F.col("analytics.elements").isNull()
+    no_config = F.col("campaign_config").isNull() | F.col("campaign_config.id").isNull()
+    whole = F.lit(0).cast("bigint")
+    sums = raw.select(
+        instant("date_range.end").alias("run_at"), "campaign_id", "pulled_at", (no_analytics & no_config).alias("failed"),
+        inside("impressions", whole).alias("impressions"), inside("clicks", whole).alias("clicks"),
+        inside("costInUsd", F.lit(0.0)).alias("cost"),
+    )
+    pulls = sums.groupBy("run_at", "campaign_id", "pulled_at").agg(
+        F.min("failed").alias("failed"), *[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost")]
+    )
+    runs = pulls.groupBy("run_at").agg(
+        *[F.sum(c).alias(f"total_{c}") for c in ("impressions", "clicks", "cost")],
+        F.count_if(~F.col("failed")).alias("successful_pulls"),
+        F.count_if(F.col("failed")).alias("failed_pulls"),
+    )
+    return runs.withColumns(
+        {
+            "ctr": percent("total_clicks", "total_impressions", None),
+            "cpc": safe_ratio("total_cost", "total_clicks", digits=None),
+            "failure": F.when(F.col("successful_pulls") == 0, F.lit(1)),
+        }
+    )
+
+
+def run_metrics(raw: DataFrame) -> DataFrame:
+    """Metric rows per collection run: totals, ratios with a base, successful and failed pulls of every run, and
+    CollectionFailure for a run of which no pull succeeded."""
+    counts = [("SuccessfulPulls", "successful_pulls", "Count"), ("FailedPulls", "failed_pulls", "Count")]
+    columns = RUN_METRICS + counts + [("CollectionFailure", "failure", "Count")]
+    return long_rows(collection_runs(raw), F.col("run_at"), COLLECTOR, columns)
+
+
 def long_rows(df: DataFrame, ts: Column, namespace: str, columns, dimensions: Column | None = None) -> DataFrame:
     """Wide totals to metric rows; ``columns`` lists (metric name, column name, unit).
 

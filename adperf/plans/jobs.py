@@ -16,6 +16,8 @@ from ..operators.aggregates import creative_metadata, daily_aggregates, weekly_s
 from ..operators.reports import last_days
 from ..operators.views import creative_performance
 from ..settings import Thresholds
+from ..streaming import lifetime
+from ..streaming.ingest import Store
 from ..sources.sinks import (
     append_actions,
     with_period,
@@ -25,6 +27,9 @@ from ..sources.sinks import (
 )
 
 
+BID_DAYS = 30  # whose elements the bid training set reads
+
+
 def store(df: DataFrame, path: str) -> DataFrame:
     """Writes ``df`` and returns the table read back."""
     df.write.mode("overwrite").parquet(path)
@@ -49,8 +54,27 @@ def run_processing(
     spark: SparkSession, elements: DataFrame, content: DataFrame, root: str, as_of: date, at: datetime,
     unit: str = "day",
 ) -> DataFrame:
-    """Training sets, dashboard aggregates, and the metric rows describing them."""
+    """Training sets, dashboard aggregates, and the metric rows describing them, from an element table."""
     cp = store_daily(creative_performance(elements), f"{root}/creative_performance", unit)
+    return _outputs(spark, cp, elements, creative_metadata(cp), content, root, as_of, at, unit)
+
+
+def run_daily(store_of: Store, content: DataFrame, root: str, as_of: date, at: datetime) -> DataFrame:
+    """The same outputs from the store that the ingest keeps: its daily rows of the windows, the elements of the bid window's
+    periods, and lifetimes folded from monthly states. Nothing reads the whole history."""
+    cp = store_of.table("creative_performance")
+    first, last = as_of - timedelta(days=BID_DAYS), as_of + timedelta(days=1)
+    if store_of.unit == "month":
+        first = first.replace(day=1)
+    elements = store_of.current([first + timedelta(days=i) for i in range((last - first).days)])
+    return _outputs(store_of.spark, cp, elements, lifetime.creatives(store_of), content, root, as_of, at, store_of.unit)
+
+
+def _outputs(
+    spark: SparkSession, cp: DataFrame, elements: DataFrame, metadata: DataFrame, content: DataFrame, root: str, as_of: date,
+    at: datetime, unit: str,
+) -> DataFrame:
+    """Writes the outputs of the processing job; ``cp`` is partitioned by period."""
     creative_paths = write_training_set(
         training.creative_training_set(stored_days(cp, as_of, 60, unit), content, as_of), root, "creative_scoring", at
     )
@@ -60,7 +84,7 @@ def run_processing(
     first = as_of - timedelta(days=180)
     whole_weeks = last_days(stored_days(cp, as_of, 180 + first.weekday(), unit), as_of, 180 + first.weekday())
     write_partitioned(weekly_summaries(whole_weeks), f"{root}/aggregates/weekly", "week_start")
-    write_creative_metadata(creative_metadata(cp), f"{root}/aggregates")
+    write_creative_metadata(metadata, f"{root}/aggregates")
     manifest = metrics.manifest_of(
         {
             "creative_scoring": spark.read.parquet(creative_paths["parquet"]),

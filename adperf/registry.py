@@ -19,8 +19,9 @@ from .operators import aggregates, alarms, decisions, metrics, models, reports,
 from .plans import jobs
 from .settings import AS_OF, configure, shared_dir
 from .sources import raw, sinks, tables
+from .sources.schema import RAW
 from .sources.training_files import read_training
-from .streaming import ingest, rollup
+from .streaming import ingest, lifetime, rollup
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -1175,6 +1176,133 @@ def ingested_weekly(s, d):
     return store.table("weekly").drop("period")
 
 
+def pull_rule(n: int):
+    """A number below ``n`` for every pull, from its day and campaign."""
+    number = F.regexp_extract("campaign_id", r"([0-9]+)", 1).cast("int")
+    return F.pmod(F.dayofyear(F.to_date(dates.instant("pulled_at"))) + number, F.lit(n))
+
+
+def pull_rule_sql(n: int) -> str:
+    return f"((dayofyear(pulled_ts) + CAST(regexp_extract(campaign_id, '([0-9]+)', 1) AS INTEGER)) % {n})"
+
+
+def as_lines(docs: DataFrame) -> DataFrame:
+    """Documents as JSON lines, with their rule below 7."""
+    return docs.select(pull_rule(7).alias("rule"), F.to_json(F.struct(*RAW.names)).alias("text"))
+
+
+def written_lines(s, lines: DataFrame) -> str:
+    path = shared_dir(s, "delivered")
+    lines.select("text").write.text(path)
+    return path
+
+
+def faulty_sources(s: SparkSession, d: str) -> list[str]:
+    """The raw documents as three sources deliver them, one after the other.
+
+    First: pulls of rule 0 with doubled impressions and an invented creative, rule 1 cut in the middle, rule 2 missing, rule 3 without
+    elements. Then the right documents of rules 0 to 3, and those of rule 4 again. Last rule 5 again, and those of rule 6
+    with a field of another type.
+    """
+    key = (s.sparkContext.applicationId, d, "faulty")
+    if key not in _RAW_PATHS:
+        docs = stored_documents(s, d)
+        rule, elements = pull_rule(7), F.col("analytics.elements")
+        doubled = F.transform(elements, lambda e: e.withField("impressions", e["impressions"] * 2))
+        more = F.concat(doubled, F.transform(F.slice(elements, 1, 1), lambda e: e.withField("pivotValue", F.lit("invented"))))
+        wrong = F.when(rule == 0, more).when(rule == 3, F.slice(elements, 1, 0)).otherwise(elements)
+        first = as_lines(docs.withColumn("analytics", F.struct(wrong.alias("elements")))).filter("rule <> 2")
+        cut = F.expr("CASE WHEN rule = 1 THEN substring(text, 1, length(text) div 2) ELSE text END")
+        right = as_lines(docs)
+        mistyped = F.expr("CASE WHEN rule = 6 THEN concat('{\"part\":\"many\",', substring(text, 2)) ELSE text END")
+        _RAW_PATHS[key] = [
+            written_lines(s, first.withColumn("text", cut)),
+            written_lines(s, right.filter("rule <= 4")),
+            written_lines(s, right.filter("rule >= 5").withColumn("text", mistyped)),
+        ]
+    return _RAW_PATHS[key]
+
+
+def stored_documents(s, d):
+    """The raw documents of the whole element table, written once per session."""
+    return raw.read_raw(s, written_raw(s, d), multi_line=False).select(*RAW.names)
+
+
+_STORES: dict[tuple, ingest.Store] = {}
+
+
+def faulty_store(s, d) -> ingest.Store:
+    """The store after the three sources."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _STORES:
+        store = ingest.Store(s, shared_dir(s, "store"), unit="month")
+        for path in faulty_sources(s, d):
+            ingest.run_ingest(store, path, shared_dir(s, "progress"), multi_line=False)
+        _STORES[key] = store
+    return _STORES[key]
+
+
+def redelivered_versions(s, d):
+    """Pulls per campaign, those that came in two versions, and the documents delivered."""
+    store = faulty_store(s, d)
+    pulls = store.pulls().join(store.deliveries().select("pull", "campaign_id").distinct(), "pull")
+    counted = pulls.groupBy("campaign_id").agg(F.count("*").alias("pulls"), F.count_if(F.col("versions") > 1).alias("corrected"))
+    return counted.join(store.deliveries().groupBy("campaign_id").agg(F.count("*").alias("deliveries")), "campaign_id")
+
+
+def rejected(s, d):
+    """Texts of each source that cannot be read, by reason, beside the documents that can."""
+    parts = [
+        raw.read_raw(s, path, multi_line=False, keep_corrupt=True).withColumn("source", F.lit(i))
+        for i, path in enumerate(faulty_sources(s, d))
+    ]
+    docs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    reason = F.when(F.col(raw.CORRUPT).isNotNull(), raw.reject_reason(raw.CORRUPT)).otherwise(F.lit("accepted"))
+    return docs.groupBy("source", reason.alias("reason")).agg(F.count("*").alias("texts"))
+
+
+def any_case(s, d):
+    """Documents whose field names are in other letter cases, some without a campaign."""
+    text = F.col("text")
+    for name in ("pulled_at", "campaign_config", "analytics", "elements", "impressions", "costInUsd"):
+        text = F.replace(text, F.lit(f'"{name}":'), F.concat(F.lit('"'), F.upper(F.lit(name)), F.lit('":')))
+    nameless = F.when(F.col("rule") == 3, F.replace(text, F.lit('"campaign_id":'), F.lit('"other_id":'))).otherwise(text)
+    path = written_lines(s, as_lines(stored_documents(s, d)).withColumn("text", nameless))
+    docs = raw.read_raw(s, path, multi_line=False, any_case=True)
+    return raw.explode_elements(docs).groupBy("campaign_id", "campaign_name").agg(
+        F.count("*").alias("elements"), F.sum("impressions").alias("impressions"), F.sum("cost").alias("cost")
+    )
+
+
+def late_and_undated(s, d):
+    """Rules 3 to 6 first, rule 5 without a readable time, then the older rest and rule 5 again."""
+    store = ingest.Store(s, shared_dir(s, "store"), unit="month")
+    undated = F.when(pull_rule(7) == 5, F.lit("n/a")).otherwise(F.col("pulled_at"))
+    docs = stored_documents(s, d).select(pull_rule(7).alias("rule"), *RAW.names, undated.alias("given"))
+    docs = docs.withColumn("pulled_at", F.col("given")).select("rule", F.to_json(F.struct(*RAW.names)).alias("text"))
+    for part in ("rule >= 3", "rule < 3 OR rule = 5"):
+        ingest.run_ingest(store, written_lines(s, docs.filter(part)), shared_dir(s, "progress"), multi_line=False)
+    return store.current().groupBy("campaign_id", F.col("report_date").isNull().alias("undated")).agg(
+        F.count("*").alias("elements"), F.sum("clicks").alias("clicks"), F.sum("cost").alias("cost")
+    )
+
+
+def failing_pulls(s, d):
+    """Documents of which rule 2 of 9 lost both halves, and so all of every thirtieth day."""
+    docs = raw.raw_documents(el(s, d))
+    lost = (pull_rule(9) == 2) | (F.dayofyear(F.to_date(dates.instant("pulled_at"))) % 30 == 0)
+    halves = {c: F.when(~lost, F.col(c)) for c in ("analytics", "campaign_config")}
+    return docs.withColumns(halves)
+
+
+FAILED_SQL = f"({pull_rule_sql(9)} = 2 OR dayofyear(pulled_ts) % 30 = 0)"
+
+
+def run_metric_rows(s, d):
+    rows = metrics.run_metrics(failing_pulls(s, d)).select("ts", "name", "unit", round_half_up("value", 6).alias("value"))
+    return without_zone(rows, "ts")
+
+
 def event_windows(s, d):
     return without_zone(metrics.event_rollup(tables.pull_metrics(s, d), "6 hours"), "period_start")
 
@@ -1220,6 +1348,80 @@ def event_transitions(s, d):
 
 
 add("r01_r07_incremental_ingest", ingested, o.sql("SELECT * FROM cp", "cp"))
+add("r06_redelivery", lambda s, d: faulty_store(s, d).table("creative_performance").drop("period"), o.sql("SELECT * FROM cp", "cp"))
+add(
+    "r06_versions",
+    redelivered_versions,
+    o.sql(
+        f"""SELECT campaign_id, COUNT(*) AS pulls, COUNT(*) FILTER (WHERE r IN (0, 3)) AS corrected,
+       COUNT(*) + COUNT(*) FILTER (WHERE r IN (0, 3, 4, 5)) AS deliveries
+FROM (SELECT campaign_id, {pull_rule_sql(7)} AS r FROM docs) GROUP BY 1""",
+        "docs",
+    ),
+)
+add("r07_creatives", lambda s, d: lifetime.creatives(faulty_store(s, d)), o.sql("SELECT * FROM meta", "meta"))
+add("r07_totals", lambda s, d: lifetime.campaigns(faulty_store(s, d)), o.sql("SELECT * FROM totals", "totals"))
+add(
+    "r08_late_and_unreadable",
+    late_and_undated,
+    o.sql(
+        f"""SELECT campaign_id, {pull_rule_sql(7)} = 5 AS undated, COUNT(*) AS elements, {o.isum('clicks')} AS clicks, SUM(cost) AS cost
+FROM el GROUP BY 1, 2""",
+        "el",
+    ),
+)
+add(
+    "s02_rejects",
+    rejected,
+    o.sql(
+        f"""SELECT CAST(source AS INTEGER) AS source, reason, COUNT(*) AS texts FROM (
+  SELECT 0 AS source, CASE WHEN r = 1 THEN 'unparsable' ELSE 'accepted' END AS reason FROM rules WHERE r <> 2
+  UNION ALL SELECT 1, 'accepted' FROM rules WHERE r <= 4
+  UNION ALL SELECT 2, CASE WHEN r = 6 THEN 'mistyped' ELSE 'accepted' END FROM rules WHERE r >= 5)
+GROUP BY 1, 2""",
+        "docs",
+    ).replace("FROM rules", f"FROM (SELECT {pull_rule_sql(7)} AS r FROM docs)"),
+)
+add(
+    "s03_any_case",
+    any_case,
+    o.sql(
+        f"""SELECT CASE WHEN {pull_rule_sql(7)} <> 3 THEN campaign_id END AS campaign_id, campaign_name, COUNT(*) AS elements,
+       {o.isum('impressions')} AS impressions, SUM(cost) AS cost FROM el GROUP BY 1, 2""",
+        "el",
+    ),
+)
+add(
+    "a34_failed_pulls",
+    lambda s, d: metrics.pull_success(failing_pulls(s, d)),
+    o.sql(f"SELECT COUNT(*) FILTER (WHERE NOT {FAILED_SQL}) AS successful_pulls, COUNT(*) FILTER (WHERE {FAILED_SQL}) AS failed_pulls FROM docs", "docs"),
+)
+add(
+    "a14_empty_pulls",
+    lambda s, d: reports.missing_data(failing_pulls(s, d), AS_OF, 60),
+    o.sql(
+        f"""SELECT report_date, COUNT(*) AS pull_count, COUNT(DISTINCT campaign_id) AS unique_campaigns, COUNT(*) FILTER (WHERE {FAILED_SQL}) AS empty_pulls
+FROM docs WHERE {o.days(60)} GROUP BY 1""",
+        "docs",
+    ),
+)
+add(
+    "u03_run_metrics",
+    run_metric_rows,
+    o.sql(
+        f"""SELECT ts, name, unit, {o.hu('value', 6)} AS value FROM (
+  SELECT ts, unnest(['TotalImpressions', 'TotalClicks', 'TotalCost', 'CTR', 'CPC', 'SuccessfulPulls', 'FailedPulls', 'CollectionFailure']) AS name,
+         unnest(['Count', 'Count', 'None', 'Percent', 'None', 'Count', 'Count', 'Count']) AS unit,
+         unnest([impressions, clicks, cost, CAST(clicks AS DOUBLE) / NULLIF(impressions, 0) * 100, cost / NULLIF(clicks, 0), good, bad, CASE WHEN good = 0 THEN 1 END]) AS value
+  FROM (SELECT pulled_ts AS ts, CAST(COALESCE(SUM(impressions) FILTER (WHERE NOT {FAILED_SQL}), 0) AS DOUBLE) AS impressions,
+               CAST(COALESCE(SUM(clicks) FILTER (WHERE NOT {FAILED_SQL}), 0) AS DOUBLE) AS clicks,
+               COALESCE(SUM(cost) FILTER (WHERE NOT {FAILED_SQL}), 0.0) AS cost,
+               CAST(COUNT(DISTINCT campaign_id) FILTER (WHERE NOT {FAILED_SQL}) AS DOUBLE) AS good,
+               CAST(COUNT(DISTINCT campaign_id) FILTER (WHERE {FAILED_SQL}) AS DOUBLE) AS bad
+        FROM el GROUP BY 1)) WHERE value IS NOT NULL""",
+        "el",
+    ),
+)
 add("r07_weekly_refresh", ingested_weekly, o.sql("SELECT * FROM allweeks", "allweeks"))
 add("r02_metric_windows", event_windows, o.sql("SELECT * FROM roll", "roll"))
 add(

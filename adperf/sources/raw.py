@@ -14,6 +14,15 @@ PATH_DATE = r"/(\d{4})/(\d{1,2})/(\d{1,2})/[^/]+$"
 HIVE_DATE = r"/year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})/[^/]+$"
 
 
+CORRUPT = "_corrupt"
+RAW_OR_CORRUPT = T.StructType(RAW.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def reject_reason(text: str) -> Column:
+    """Why a text is no raw document: ``unparsable`` where it is no JSON, ``mistyped`` where a field has another type."""
+    return F.when(F.try_parse_json(text).isNull(), F.lit("unparsable")).otherwise(F.lit("mistyped"))
+
+
 def _swap_case_twins(dtype: T.DataType, lower: bool) -> T.DataType:
     """The type with all field names in lower case (``lower``) or as declared."""
     if isinstance(dtype, T.StructType):
@@ -34,28 +43,39 @@ def read_raw(
     """Raw documents below ``path``; malformed documents are skipped.
 
     ``multi_line`` reads one pretty-printed document per file, otherwise one document per line.
-    ``keep_corrupt`` keeps rejects, with their text in ``_corrupt``, so that they can be counted.
-    ``any_case`` accepts field names in any letter case.
+    ``keep_corrupt`` keeps rejects, with their text in ``_corrupt``, so that they can be counted (see ``rejects``).
+    ``any_case`` accepts field names in any letter case; it changes nothing else: the same documents stay and go.
     """
     if any_case:
-        return _read_any_case(spark, path, multi_line)
-    schema = RAW
-    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", True)
-    if keep_corrupt:
-        schema = T.StructType(RAW.fields + [T.StructField("_corrupt", T.StringType(), True)])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+        docs = _read_any_case(spark, path, multi_line)
     else:
-        reader = reader.option("mode", "DROPMALFORMED")
-    return reader.schema(schema).json(path)
+        reader = spark.read.schema(RAW_OR_CORRUPT).option("multiLine", multi_line).option("recursiveFileLookup", True)
+        docs = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+        # Only fields that are read can show a document to be malformed, so all of them are: whichever columns a query needs,
+        # the same documents stay and go.
+        beside = F.left(F.xxhash64(*RAW.names).cast("string"), F.lit(0))
+        docs = docs.withColumn(CORRUPT, F.concat(CORRUPT, beside))
+    if keep_corrupt:
+        return docs
+    return docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def _read_any_case(spark: SparkSession, path, multi_line: bool) -> DataFrame:
     """Lower-cases the keys in the text before parsing with the lower-case twin of the schema."""
     text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=multi_line)
+    text = text.filter(F.trim("value") != "")  # a blank line is no document, as for the JSON reader
     twin = _swap_case_twins(RAW, lower=True)
-    parsed = F.from_json(lower_keys(F.col("value")), twin, {"mode": "PERMISSIVE"})
-    doc = text.select(parsed.cast(RAW).alias("doc"))
-    return doc.filter(F.col("doc.campaign_id").isNotNull()).select("doc.*")
+    twin = T.StructType(twin.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    parsed = F.from_json(lower_keys(F.col("value")), twin, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    doc = text.select("value", parsed.cast(RAW_OR_CORRUPT).alias("doc"))
+    corrupt = F.when(F.col(f"doc.{CORRUPT}").isNotNull(), F.col("value")).alias(CORRUPT)
+    return doc.select(*(F.col("doc")[name].alias(name) for name in RAW.names), corrupt)
+
+
+def rejects(docs: DataFrame) -> DataFrame:
+    """Text and reason of the rejects of ``read_raw(..., keep_corrupt=True)``."""
+    bad = docs.filter(F.col(CORRUPT).isNotNull())
+    return bad.select(F.col(CORRUPT).alias("text"), reject_reason(CORRUPT).alias("reason"))
 
 
 def lower_keys(json_text: Column) -> Column:
@@ -137,11 +157,11 @@ def element_day(which: str) -> Column:
     return F.try_to_date(F.concat_ws("-", d["year"], d["month"], d["day"]), "y-M-d")
 
 
-def explode_elements(raw: DataFrame) -> DataFrame:
-    """One row per element of every document; documents without elements give no rows."""
+def explode_elements(raw: DataFrame, *kept: str) -> DataFrame:
+    """One row per element of every document, with the document's columns ``kept``; documents without elements give no rows."""
     config = "campaign_config"
     part = F.col("part") if "part" in raw.columns else F.lit(None).cast("int").alias("part")
-    rows = raw.select("pulled_at", "campaign_id", config, part, F.explode("analytics.elements").alias("elem"))
+    rows = raw.select("pulled_at", "campaign_id", config, part, *kept, F.explode("analytics.elements").alias("elem"))
     pulled = instant("pulled_at")
     return rows.select(
         F.to_date(pulled).alias("report_date"),
@@ -161,6 +181,7 @@ def explode_elements(raw: DataFrame) -> DataFrame:
         F.col("elem.creativeContent").alias("content"),
         "part",
         "pulled_at",
+        *kept,
     )
 
 

@@ -9,16 +9,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import instant, week_start
 from ..operators.aggregates import daily_aggregates, weekly_summaries
-from ..operators.views import creative_performance
-from ..sources.raw import explode_elements
+from ..operators.views import creative_performance, measured
+from ..sources.raw import CORRUPT, RAW_OR_CORRUPT, explode_elements, reject_reason
 from ..sources.schema import ELEMENT_COLUMNS, RAW
 from ..sources.sinks import period_of, with_period, write_partitioned
+from . import lifetime
 
 ELEMENTS_SCHEMA = (
     "report_date date, pulled_ts timestamp, campaign_id string, campaign_name string, campaign_status string, "
     "daily_budget double, unit_cost double, creative_id string, impressions bigint, clicks bigint, cost double, "
-    "conversions bigint, unique_impressions bigint, part int, pulled_at string, period date, batch_id bigint"
+    "conversions bigint, unique_impressions bigint, element_date date, "
+    "content struct<headline: string, description: string, cta: string>, part int, pulled_at string, digest string, "
+    "period date, batch_id bigint"
 )
+DELIVERIES_SCHEMA = (
+    "pull string, digest string, delivered timestamp, origin string, campaign_id string, pulled_at string, part int, "
+    "run_at string, elements int, has_analytics boolean, has_config boolean, period date, batch_id bigint"
+)
+REJECTS_SCHEMA = "digest string, reason string, text string, origin string, delivered timestamp, batch_id bigint"
 
 
 class Store:
@@ -34,8 +42,53 @@ class Store:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
+    def _read(self, table: str, schema: str) -> DataFrame:
+        if not self.exists(table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
+
     def elements(self) -> DataFrame:
-        return self.spark.read.schema(ELEMENTS_SCHEMA).parquet(self.path("elements"))
+        """The elements of every version of every pull, each version's once."""
+        return self._read("elements", ELEMENTS_SCHEMA)
+
+    def deliveries(self) -> DataFrame:
+        """One row for each document of each batch, its content's digest and the pull it is a version of included."""
+        return self._read("deliveries", DELIVERIES_SCHEMA)
+
+    def rejects(self) -> DataFrame:
+        """Texts that could not be read, each once: reason, first delivery, and in how many batches it came."""
+        rows = self._read("rejects", REJECTS_SCHEMA).groupBy("digest", "reason", "text")
+        return rows.agg(F.min("delivered").alias("delivered"), F.min("origin").alias("origin"), F.count("*").alias("batches"))
+
+    def pulls(self, periods: list[date | None] | None = None) -> DataFrame:
+        """The version that holds of every pull, or of every pull of ``periods``: the one delivered last, of two at one time the
+        larger digest."""
+        rows = self.deliveries() if periods is None else self.deliveries().filter(one_of("period", periods))
+        once = rows.groupBy("period", "pull", "digest").agg(F.max("delivered").alias("delivered"), F.min("batch_id").alias("batch_id"))
+        return once.groupBy("period", "pull").agg(F.max_by("digest", F.struct("delivered", "digest")).alias("digest"), F.count("*").alias("versions"))
+
+    def current(self, periods: list[date | None] | None = None) -> DataFrame:
+        """The elements of the versions that hold. Versions that a later delivery replaced are taken out by their digests:
+        few, and none in most periods, so the elements are not shuffled for it."""
+        rows, sent = self.elements(), self.deliveries()
+        if periods is not None:
+            rows, sent = rows.filter(one_of("period", periods)), sent.filter(one_of("period", periods))
+        holds = self.pulls(periods).filter("versions > 1").select("pull", F.col("digest").alias("holds"))
+        old = sent.join(holds, "pull").filter("digest <> holds").select("digest").distinct()
+        return rows.join(old, "digest", "left_anti")
+
+    def periods_of_months(self, months: list[date]) -> list[date]:
+        """The periods that some months hold: themselves or their days."""
+        if self.unit == "month":
+            return months
+        last = [(m + timedelta(days=32)).replace(day=1) for m in months]
+        return [m + timedelta(days=i) for m, end in zip(months, last) for i in range((end - m).days)]
+
+    def drop_periods(self, table: str, periods: list[date | None]) -> None:
+        """Removes partitions that have no rows any more."""
+        for p in periods:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/period={p or '__HIVE_DEFAULT_PARTITION__'}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -55,16 +108,23 @@ def one_of(column: str, days: list[date | None]) -> Column:
 
 
 def stream_raw(spark: SparkSession, path: str, multi_line: bool = True, files_per_batch: int | None = None) -> DataFrame:
-    """New raw documents below ``path`` as a stream."""
+    """New raw documents below ``path`` as a stream, with the file each came in (``origin``) and that file's time (``delivered``).
+
+    A text that is no such document comes with its text in ``_corrupt``.
+    """
     reader = (
-        spark.readStream.schema(RAW)
+        spark.readStream.schema(RAW_OR_CORRUPT)
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    file = F.col("_metadata")
+    return reader.json(path).select(
+        "*", file["file_path"].alias("origin"), file["file_modification_time"].alias("delivered")
+    )
 
 
 def without_redelivery(raw_stream: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -73,6 +133,8 @@ def without_redelivery(raw_stream: DataFrame, delay: str = "1 day") -> DataFrame
     For metric streams. It also drops documents later than the watermark, so the element table
     (see ``append_batch``) recognises repeats by what it has stored instead.
     """
+    if CORRUPT in raw_stream.columns:
+        raw_stream = raw_stream.filter(F.col(CORRUPT).isNull())
     timed = raw_stream.withColumn("pulled_ts", instant("pulled_at")).withWatermark("pulled_ts", delay)
     return timed.dropDuplicatesWithinWatermark(["campaign_id", "pulled_at", "part"])
 
@@ -83,62 +145,105 @@ def touched_periods(rows: DataFrame) -> list[date | None]:
     return sorted(p for p in found if p is not None) + [None] * (None in found)
 
 
+def with_identity(documents: DataFrame, unit: str) -> DataFrame:
+    """Documents with ``digest`` (of their content), ``pull`` (what they are a version of) and ``period``.
+
+    Documents of one campaign, time and part are versions of one pull. Without a readable time or a campaign nothing says
+    that two documents belong together, so each content is a pull of its own. ``origin``, ``delivered`` and
+    ``_corrupt`` are NULL where the source has none.
+    """
+    extra = {"origin": "string", "delivered": "timestamp", CORRUPT: "string"}
+    rows = documents.withColumns({c: F.lit(None).cast(t) for c, t in extra.items() if c not in documents.columns})
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in RAW if f.name not in rows.columns})
+    content = F.when(F.col(CORRUPT).isNull(), F.to_json(F.struct(*RAW.names))).otherwise(F.col(CORRUPT))
+    pulled = instant("pulled_at")
+    named = F.concat_ws("\x1f", "campaign_id", pulled.cast("string"), F.coalesce(F.col("part").cast("string"), F.lit("-")))
+    rows = rows.select(*RAW.names, CORRUPT, "origin", "delivered", F.sha2(content.cast("binary"), 256).alias("digest"))
+    known = F.col("campaign_id").isNotNull() & pulled.isNotNull()
+    return rows.withColumns({"pull": F.when(known, named).otherwise(F.col("digest")), "period": period_of(F.to_date(pulled), unit)})
+
+
+def _write_batch(rows: DataFrame, path: str, key: int, *partitions: str) -> None:
+    """Replaces the batch's own partitions."""
+    rows = rows.withColumn("batch_id", F.lit(key).cast("bigint"))
+    out = rows.hint("rebalance", *partitions) if partitions else rows
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions, "batch_id").parquet(path)
+
+
 def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date | None]:
-    """Adds the batch's documents that are not stored yet; returns the periods it touches.
+    """Adds the batch's documents; returns the periods it touches.
+
+    A document is known by its content. One that came before is noted as delivered again and its elements are not stored a second
+    time; another content for the same campaign, time and part is a new version of the pull, and the version delivered last
+    holds, whatever the order of the batches. Texts that cannot be read go to the table of rejects.
 
     The batch is parsed once into a staging table of its own name. Its rows go to partitions named by a hash over its
     documents, not by ``batch_id``: a batch that is run again replaces its own partitions, and neither a new
-    checkpoint nor a second source, whose numbers start again, can replace those of another batch. It compares with other
-    batches only. A document whose time cannot be read is kept, with the NULL period as its partition.
+    checkpoint nor a second source, whose numbers start again, can replace those of another batch. It compares with the
+    elements of other batches only. A document whose time cannot be read is kept, with the NULL period as its partition. One batch is
+    added at a time.
     """
-    identity = ["campaign_id", "pulled_at", "part"]
-    fresh = documents.dropDuplicates(identity)
-    columns = [*ELEMENT_COLUMNS, "part", "pulled_at", "period"]
-    parsed = with_period(explode_elements(fresh), "report_date", store.unit).select(*columns)
+    parsed = with_identity(documents, store.unit)
     staging = f"{store.path('staging')}/batch={batch_id}"
     parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)
-    rows = store.spark.read.schema(parsed.schema).parquet(staging)
-    periods = touched_periods(rows)
+    staged = store.spark.read.schema(parsed.schema).parquet(staging)
+    key = staged.select("digest").distinct().agg(F.bit_xor(F.xxhash64("digest"))).first()[0]
+    if key is None:
+        return []
+    bad = staged.filter(F.col(CORRUPT).isNotNull())
+    bad = bad.select("digest", reject_reason(CORRUPT).alias("reason"), F.col(CORRUPT).alias("text"), "origin", "delivered")
+    _write_batch(bad.dropDuplicates(["digest"]), store.path("rejects"), key)
+    good = staged.filter(F.col(CORRUPT).isNull())
+    periods = touched_periods(good)
     if not periods:
         return []
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in identity]
-    key = rows.select(*identity).distinct().agg(F.bit_xor(F.xxhash64(*named))).first()[0]
+    last = good.groupBy("digest").agg(F.max("delivered").alias("delivered"), F.min("origin").alias("origin"))
+    versions = good.drop("delivered", "origin").dropDuplicates(["digest"]).join(last, "digest")  # equal digests are equal documents
+    sent = versions.select(
+        "pull", "digest", "delivered", "origin", "campaign_id", "pulled_at", "part", F.col("date_range.end").alias("run_at"),
+        F.coalesce(F.size("analytics.elements"), F.lit(0)).alias("elements"),
+        F.col("analytics.elements").isNotNull().alias("has_analytics"), F.col("campaign_config.id").isNotNull().alias("has_config"), "period",
+    )
+    columns = [*ELEMENT_COLUMNS, "element_date", "content", "part", "pulled_at", "digest"]
+    rows = with_period(explode_elements(good.dropDuplicates(["digest"]), "digest"), "report_date", store.unit).select(*columns, "period")
     if store.exists("elements"):
-        stored = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != key))
-        known = stored.select("period", *identity).distinct()
-        same = [rows[c].eqNullSafe(known[c]) for c in known.columns]
-        rows = rows.join(known, reduce(Column.__and__, same), "left_anti")
-    out = rows.select(*columns).withColumn("batch_id", F.lit(key).cast("bigint"))
-    (
-        out.hint("rebalance", "period")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period", "batch_id")
-        .parquet(store.path("elements"))
-    )
+        others = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != key))
+        rows = rows.join(others.select("digest").distinct(), "digest", "left_anti")
+    _write_batch(rows.select(*columns, "period"), store.path("elements"), key, "period")
+    # Last, so that a version holds only once its elements are stored.
+    _write_batch(sent, store.path("deliveries"), key, "period")
     return periods
 
 
+def _replace(store: Store, rows: DataFrame, table: str, periods: list[date | None], left: list[date | None]) -> None:
+    """Replaces the partitions ``periods`` of a table by ``rows``, of which ``left`` have some."""
+    write_partitioned(rows, store.path(table), "period")
+    store.drop_periods(table, [p for p in periods if p not in left])
+
+
 def refresh(store: Store, periods: list[date | None]) -> None:
-    """Recomputes the daily views of ``periods`` and the weeks they reach into; replaces only those.
+    """Recomputes the daily views of ``periods``, the weeks they reach into and the lifetime state; replaces only those.
 
     Only the partitions of these periods are read from the element table; weeks are built from the
-    stored daily view.
+    stored daily view. A period whose last element a correction took away loses its rows.
     """
     if not periods:
         return
-    days = store.elements().filter(one_of("period", periods))
-    write_partitioned(
-        with_period(creative_performance(days), "report_date", store.unit), store.path("creative_performance"), "period"
-    )
+    days = store.current(periods)
+    left = touched_periods(measured(days))
+    performance = with_period(creative_performance(days), "report_date", store.unit)
+    _replace(store, performance, "creative_performance", periods, left)
     daily = store.table("creative_performance")
     touched = daily_aggregates(daily.filter(one_of("period", periods)))
-    write_partitioned(with_period(touched, "report_date", store.unit), store.path("daily"), "period")
-    write_partitioned(_weeks(store, daily, periods), store.path("weekly"), "period")
+    _replace(store, with_period(touched, "report_date", store.unit), "daily", periods, left)
+    weeks, weekly_periods = _weeks(store, daily, periods)
+    _replace(store, weeks, "weekly", weekly_periods, touched_periods(weeks))
+    lifetime.refresh(store, periods, left)
 
 
-def _weeks(store: Store, daily: DataFrame, periods: list[date | None]) -> DataFrame:
-    """Whole weekly partitions for every week that has a day in ``periods``; days without a date are one NULL week."""
+def _weeks(store: Store, daily: DataFrame, periods: list[date | None]) -> tuple[DataFrame, list[date | None]]:
+    """Whole weekly partitions for every week that has a day in ``periods``, and their names; days without a date are one NULL week."""
     undated = [None] * (None in periods)
     periods = [p for p in periods if p is not None]
 
@@ -166,7 +271,7 @@ def _weeks(store: Store, daily: DataFrame, periods: list[date | None]) -> DataFr
     rows = daily.filter(one_of("period", sorted(needed) + undated))
     in_week = one_of("week_period", weekly_periods + undated)
     rows = rows.withColumn("week_period", period_of(week_start("report_date"), store.unit)).filter(in_week)
-    return with_period(weekly_summaries(rows), "week_start", store.unit)
+    return with_period(weekly_summaries(rows), "week_start", store.unit), weekly_periods + undated
 
 
 def run_ingest(

@@ -3,10 +3,10 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from adperf.operators import views
+from adperf.operators import aggregates, views
 from adperf.operators.aggregates import daily_aggregates, weekly_summaries
 from adperf.sources import raw, tables
-from adperf.streaming import ingest
+from adperf.streaming import ingest, lifetime
 from tests.conftest import SMALL
 from tests.test_raw import document, element, put
 
@@ -140,3 +140,100 @@ def test_daily_job_keeps_whole_weeks(spark):
     days = spark.range(400).selectExpr("date_sub(DATE'2024-12-01', cast(id as int)) AS report_date")
     kept = last_days(days, as_of, 180 + first.weekday()).agg(F.min("report_date")).first()[0]
     assert kept.weekday() == 0 and kept <= first
+
+
+def test_nothing_delivered_is_lost(spark, tmp_path):
+    """Two documents without a time are both kept; a corrected delivery replaces the first, in any order of batches; unreadable texts are counted."""
+    store = ingest.Store(spark, str(tmp_path / "store"))
+    docs = [
+        (1, document("2024-11-29T06:00:00", elements=[element(impressions=10), element("gone")])),
+        (2, document("2024-11-29T06:00:00", elements=[element(impressions=12), element("new")])),
+        (1, document("n/a", elements=[element("a")])),
+        (1, document("n/a", elements=[element("b")])),
+        (1, document(None, campaign=None, elements=[element("c")])),
+        (1, document("2024-11-30T06:00:00", elements=[element("only")])),
+        (3, document("2024-11-30T06:00:00", elements=[])),
+    ]
+
+    def batch(*hours):
+        lines = [(f"2024-12-01 0{h}:00:00", json.dumps(d)) for h, d in docs if h in hours]
+        lines = spark.createDataFrame(lines, "delivered string, text string")
+        parsed = lines.select(F.from_json("text", raw.RAW).alias("d"), F.col("delivered").cast("timestamp").alias("delivered"))
+        return parsed.select("d.*", "delivered")
+
+    for i, hours in enumerate([(2,), (1, 2), (1,), (3,), (1, 2)]):  # the correction comes first, then what it corrects
+        ingest.refresh(store, ingest.append_batch(store, batch(*hours), i))
+    current = {(r.creative_id, r.impressions) for r in store.current().collect()}
+    assert current == {("c1", 12), ("new", 100), ("a", 100), ("b", 100), ("c", 100)}
+    assert store.current().count() == 5
+    performance = store.table("creative_performance")
+    assert {(str(r.report_date), r.creative_id, r.total_impressions) for r in performance.collect()} == {
+        ("2024-11-29", "c1", 12), ("2024-11-29", "new", 100), ("None", "a", 100), ("None", "b", 100), ("None", "c", 100)}
+    assert performance.filter("period = DATE'2024-11-30'").isEmpty()  # its last element was corrected away
+    assert same(lifetime.creatives(store), aggregates.creative_metadata(performance.drop("period")))
+    assert same(lifetime.campaigns(store), views.campaign_totals(store.current()))
+
+
+def test_rejects_are_kept_and_counted(spark, tmp_path):
+    source = str(tmp_path / "raw")
+    put(source, "2024-11-29", "a.json", document("2024-11-29T06:00:00", elements=[element()]))
+    put(source, "2024-11-29", "b.json", '{"pulled_at": ')
+    put(source, "2024-11-29", "c.json", document("2024-11-29T07:00:00", elements=[element(impressions="many")]))
+    store = ingest.Store(spark, str(tmp_path / "store"))
+    for progress in ("p1", "p2"):  # the second checkpoint delivers all of it again
+        ingest.run_ingest(store, source, str(tmp_path / progress))
+    assert sorted((r.reason, r.batches) for r in store.rejects().collect()) == [("mistyped", 1), ("unparsable", 1)]
+    assert store.elements().count() == 1
+    docs = raw.read_raw(spark, source, keep_corrupt=True)
+    assert sorted(r.reason for r in raw.rejects(docs).collect()) == ["mistyped", "unparsable"] and raw.rejects(docs).count() == 2
+    assert raw.read_raw(spark, source).count() == 1
+
+
+def test_lifetimes_follow_corrections(spark, tmp_path, elements):
+    """Batches in any order, months apart, with days named by several rows: folded states equal a full recompute."""
+    for unit in ("day", "month"):
+        store = ingest.Store(spark, str(tmp_path / unit), unit)
+        days = [("2024-11-29", 1), ("2024-12-01", 2), ("2024-11-30", 3), ("2023-02-28", 4), ("2024-12-01", 5), ("2024-11-29", 6)]
+        for i, (day, n) in enumerate(days):
+            rows = [(day, n, f"k{n % 2}", f"c{c}", 100 * n, c + n, 0.25 * n, 1) for c in range(n)]
+            ingest.refresh(store, ingest.append_batch(store, raw.raw_documents(elements(rows)), i))
+        assert same(lifetime.creatives(store), aggregates.creative_metadata(store.table("creative_performance").drop("period")))
+        assert same(lifetime.campaigns(store), views.campaign_totals(store.current()))
+        # c0 of k0 has rows on 2023-02-28, 2024-11-29 and 2024-12-01.
+        assert {r.days_active for r in lifetime.creatives(store).collect()} == {1, 2, 3}
+
+
+def test_states_merge_in_any_order(spark, elements):
+    rows = [(f"2024-11-{d:02d}", h, f"k{d % 2}", f"c{d % 3}", 10 * d, d, 0.25 * d, 1) for d in range(1, 31) for h in (3, 9)]
+    parts = [elements(rows[i::4]) for i in range(4)]  # every day lies in several parts
+    days = [lifetime.campaign_states(lifetime.campaign_days(p)) for p in parts]
+    whole = lifetime.campaign_lifetimes(lifetime.campaign_states(lifetime.campaign_days(elements(rows))))
+    for order in ((0, 1, 2, 3), (3, 1, 0, 2)):
+        merged = days[order[0]]
+        for i in order[1:]:
+            merged = lifetime.merge(merged.unionByName(days[i]), lifetime.CAMPAIGN)
+        assert same(lifetime.campaign_lifetimes(merged), whole)
+
+
+def test_daily_job_from_the_store_equals_the_job_over_all_elements(spark, tmp_path, elements):
+    from datetime import datetime
+
+    from adperf.plans import jobs
+    from adperf.sources.schema import CONTENT
+
+    as_of, at = date(2024, 12, 1), datetime(2024, 12, 1, 8)
+    rows = [
+        (str(as_of - timedelta(days=d)), h, f"k{d % 2}", f"c{d % 5}", 200 + d, 20, 2.5, d % 3)
+        for d in (0, 1, 3, 9, 29, 30, 31, 45, 95, 200) for h in (6, 12)
+    ]
+    every = elements(rows)
+    store = ingest.Store(spark, str(tmp_path / "store"))
+    ingest.refresh(store, ingest.append_batch(store, raw.raw_documents(every), 0))
+    content = spark.createDataFrame([], "creative_id string, headline string, description string, cta string, combined_text string")
+    metric = {}
+    for name, run in (("whole", lambda root: jobs.run_processing(spark, every, content, root, as_of, at)), ("store", lambda root: jobs.run_daily(store, content, root, as_of, at))):
+        metric[name] = sorted(map(str, run(str(tmp_path / name)).collect()))
+    assert metric["whole"] == metric["store"]
+    for table in ("aggregates/daily", "aggregates/weekly", "aggregates/creative_metadata/parquet", "training/bid_optimization/latest"):
+        a, b = (spark.read.parquet(str(tmp_path / name / table)) for name in ("whole", "store"))
+        assert same(a, b), table
