@@ -41,7 +41,7 @@ class WordTokenizer:
     PLAIN = re.compile("[\t\n\r\x20-\x7e\xa0-ȳ]*").fullmatch
     WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}\\s]+").findall
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int = 250_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
