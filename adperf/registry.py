@@ -1198,11 +1198,10 @@ def written_lines(s, lines: DataFrame) -> str:
 
 
 def faulty_sources(s: SparkSession, d: str) -> list[str]:
-    """The raw documents as three sources deliver them, one after the other.
+    """The raw documents as two sources deliver them, one after the other.
 
     First: pulls of rule 0 with doubled impressions and an invented creative, rule 1 cut in the middle, rule 2 missing, rule 3 without
-    elements. Then the right documents of rules 0 to 3, and those of rule 4 again. Last rule 5 again, and those of rule 6
-    with a field of another type.
+    elements. Then the right documents of rules 0 to 3, those of rules 4 and 5 again, and those of rule 6 with a field of another type.
     """
     key = (s.sparkContext.applicationId, d, "faulty")
     if key not in _RAW_PATHS:
@@ -1217,8 +1216,7 @@ def faulty_sources(s: SparkSession, d: str) -> list[str]:
         mistyped = F.expr("CASE WHEN rule = 6 THEN concat('{\"part\":\"many\",', substring(text, 2)) ELSE text END")
         _RAW_PATHS[key] = [
             written_lines(s, first.withColumn("text", cut)),
-            written_lines(s, right.filter("rule <= 4")),
-            written_lines(s, right.filter("rule >= 5").withColumn("text", mistyped)),
+            written_lines(s, right.withColumn("text", mistyped)),
         ]
     return _RAW_PATHS[key]
 
@@ -1232,7 +1230,7 @@ _STORES: dict[tuple, ingest.Store] = {}
 
 
 def faulty_store(s, d) -> ingest.Store:
-    """The store after the three sources."""
+    """The store after both sources."""
     key = (s.sparkContext.applicationId, d)
     if key not in _STORES:
         store = ingest.Store(s, shared_dir(s, "store"), unit="month")
@@ -1256,7 +1254,7 @@ def rejected(s, d):
         raw.read_raw(s, path, multi_line=False, keep_corrupt=True).withColumn("source", F.lit(i))
         for i, path in enumerate(faulty_sources(s, d))
     ]
-    docs = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    docs = parts[0].unionByName(parts[1])
     reason = F.when(F.col(raw.CORRUPT).isNotNull(), raw.reject_reason(raw.CORRUPT)).otherwise(F.lit("accepted"))
     return docs.groupBy("source", reason.alias("reason")).agg(F.count("*").alias("texts"))
 
@@ -1376,8 +1374,7 @@ add(
     o.sql(
         f"""SELECT CAST(source AS INTEGER) AS source, reason, COUNT(*) AS texts FROM (
   SELECT 0 AS source, CASE WHEN r = 1 THEN 'unparsable' ELSE 'accepted' END AS reason FROM rules WHERE r <> 2
-  UNION ALL SELECT 1, 'accepted' FROM rules WHERE r <= 4
-  UNION ALL SELECT 2, CASE WHEN r = 6 THEN 'mistyped' ELSE 'accepted' END FROM rules WHERE r >= 5)
+  UNION ALL SELECT 1, CASE WHEN r = 6 THEN 'mistyped' ELSE 'accepted' END FROM rules)
 GROUP BY 1, 2""",
         "docs",
     ).replace("FROM rules", f"FROM (SELECT {pull_rule_sql(7)} AS r FROM docs)"),
