@@ -136,7 +136,10 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
         F.array(F.lit(None).cast("int")).alias("next_signs"),
     )
     rows = joined.unionByName(without).withColumn("n_chars", F.char_length("text").cast("long"))
-    edited = F.concat(F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 3) as int))"), F.col("beginning"))
+    edited = F.concat(
+        F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 3) as int))"),
+        F.expr("substring(beginning, 1, cast(floor(n_chars / 3) as int))"),  # sent for the longest row of the id
+    )
     rows = rows.withColumn("edited", edited).withColumns({"signs": signatures(F.col("text")), "edited_signs": signatures(F.col("edited"))})
     near_next = F.when(F.col("doc_id").isNull(), 0.0).otherwise(likeness(F.col("signs"), F.col("next_signs")))
     return rows.select(

@@ -252,6 +252,13 @@ def test_fingerprints(small, odd):
     assert spotsigs.compare_with_edits(odd.limit(0)).count() == 0
 
 
+def test_each_row_of_an_id_is_edited_by_its_own_third(spark):
+    docs = spark.createDataFrame([(1, "abcdefghi"), (1, "abc"), (1, ""), (0, "XYZ")], "doc_id long, text string")
+    found = {(r.doc_id, r.n_chars): r.edited_sha256 for r in spotsigs.compare_with_edits(docs).collect()}
+    wanted = {(1, 9): "abcdefXYZ", (1, 3): "abX", (1, 0): "", (0, 3): "XY"}
+    assert found == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in wanted.items()}
+
+
 def test_signatures_are_chains_behind_anchors(spark):
     texts = spark.createDataFrame([("The house of the red door",), ("house red door",), ("¡!",), ("",)], "text string")
     found = [set(r.s) for r in texts.select(spotsigs.signatures(F.col("text")).alias("s")).collect()]
