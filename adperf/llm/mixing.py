@@ -15,6 +15,7 @@ BLOCK = 4096
 # Source tables up to this many rows are broadcast (80 doubles a row); larger ones are joined by source and salt.
 BROADCAST_SOURCES = 2_000
 SALTS = 64
+ADDED = ("mix_rate", "mix_part", "mix_copy", "mix_key")
 
 
 def _uniform(*parts: Column) -> Column:
@@ -37,6 +38,11 @@ def rates(docs: DataFrame, weights: dict, default: float, total: int | None = No
     )
 
 
+def _renamed(docs: DataFrame) -> DataFrame:
+    """Columns whose names could be those of a step get names that are not."""
+    return docs.toDF(*(f"__kept_{i}" if c.lower().startswith("__") else c for i, c in enumerate(docs.columns)))
+
+
 def mix(docs: DataFrame, weights: dict, default: float = 1.0, seed: int = 11, total: int | None = None) -> DataFrame:
     """Every row of ``docs`` as often as a Poisson variable of its source's rate says, in a global pseudo-random order.
 
@@ -46,12 +52,15 @@ def mix(docs: DataFrame, weights: dict, default: float = 1.0, seed: int = 11, to
     them: that is the shuffled order.
 
     NULL sources form one source. A row without doc_id draws by its text. Repeated rows draw the same number. A weight of 0
-    removes a source. An empty table gives no rows. Input columns pass unchanged, whatever their names, but for those four.
+    removes a source. An empty table gives no rows. Input columns pass unchanged, whatever their names, but for those four,
+    which are drawn anew: a mixed table can be mixed again.
 
     Only the per-source counts are grouped (partial counts first). The copies of a hot source are dealt by hash like all
     others. The source table is broadcast up to BROADCAST_SOURCES rows, beyond that joined with salt.
     """
     spark = docs.sparkSession
+    docs = docs.drop(*ADDED)
+    names, docs = docs.columns, _renamed(docs)
     table = rates(docs, weights, default, total).withColumn("parts", F.ceil(F.col("rate") / PART_MEAN).cast("long"))
     table = table.filter("parts > 0").withColumn("mean", F.col("rate") / F.col("parts"))
     step = lambda acc, k: F.struct(
@@ -85,8 +94,7 @@ def mix(docs: DataFrame, weights: dict, default: float = 1.0, seed: int = 11, to
     drawn = drawn.withColumn("__mix_count", F.transform("__mix_u", below)[0]).filter("__mix_count > 0")
     copies = drawn.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_count"))))
     copies = copies.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit(f"{seed} order"), identity, "mix_part", "mix_copy").cast("binary")))
-    columns = [c for c in docs.columns if c not in ("mix_rate", "mix_part", "mix_copy", "mix_key")]
-    copies = copies.select(*columns, "mix_rate", "mix_part", "mix_copy", "mix_key")
+    copies = copies.select(*(F.col(f"`{c}`").alias(name) for c, name in zip(docs.columns, names)), *ADDED)
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return copies.repartition(shuffled, "mix_key").sortWithinPartitions("mix_key")
 

@@ -82,6 +82,18 @@ def test_mixing_reaches_the_target(spark, odd):
     assert mixing.mix(odd.limit(0), {}).count() == 0
 
 
+def test_mixing_of_clashing_names(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.col("id") % 3).cast("string").alias("source"))
+    once = mixing.mix(docs, {"1": 3.0})
+    names = ("__mix_u", "__mix_source", "__MIX_cdf", "__kept_4", "parts", "rate", "weight", "a.b")
+    odd = once.withColumns({n: F.col("doc_id") for n in names})
+    found = mixing.mix(odd, {"1": 3.0})
+    assert set(found.columns) == set(odd.columns) and found.count() > 0
+    assert found.filter(" OR ".join(f"`{n}` <> doc_id" for n in names)).count() == 0
+    again = lambda docs: sorted(r.mix_key for r in mixing.mix(docs, {"1": 3.0}).collect())
+    assert again(docs.withColumn("MIX_RATE", F.lit("x"))) == again(docs)
+
+
 def test_mixing_with_a_large_source_table(spark, monkeypatch):
     docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.col("id") % 7).cast("string").alias("source"))
     keys = lambda: sorted(r.mix_key for r in mixing.mix(docs, {"1": 5.0}).collect())
