@@ -34,9 +34,27 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
 
 
+MOST_TOKENS = 1 << 53  # of one attachment
+
+
+def amount(value, default: float) -> float:
+    """A part's measure, ``default`` where it has none. ValueError if it is no finite number from 0 on."""
+    if value is None:
+        return default
+    if isinstance(value, bool) or not isinstance(value, (int, float)) or not 0 <= value <= MOST_TOKENS:
+        raise ValueError(value)
+    return value
+
+
+def sound(text: str | None) -> str | None:
+    """JSON can escape half of a surrogate pair, which no text holds: it becomes a replacement character."""
+    return text and re.sub("[\ud800-\udfff]", "\ufffd", text)
+
+
 class PartVisitor:
     """Flattens one turn's parts. Token counts: an image has one token for each started tile of ``tile`` pixels a side, audio
-    ``audio_rate`` for each second, a document ``page_tokens`` for each page; a part's own ``tokens`` wins."""
+    ``audio_rate`` for each second, a document ``page_tokens`` for each page; a part's own ``tokens`` wins. An attachment
+    whose measures are no numbers from 0 to MOST_TOKENS, or whose reference is no text, is text: its JSON, like that of a part of unknown type."""
 
     def __init__(self, tile: int = 28, audio_rate: int = 25, page_tokens: int = 1024):
         self.tile, self.audio_rate, self.page_tokens = tile, audio_rate, page_tokens
@@ -46,41 +64,51 @@ class PartVisitor:
     def visit(self, part) -> None:
         kind = part.get("type") if isinstance(part, dict) else None
         method = getattr(self, f"visit_{kind}", None) if kind in ("text", "image", "audio", "document") else None
-        if method:
-            method(part)
-        else:  # nothing is lost of a part of unknown type: its JSON is text
-            self.flat.append(escape(part if isinstance(part, str) else json.dumps(part, ensure_ascii=False, sort_keys=True)))
+        try:
+            if method:
+                method(part)
+                return
+        except ValueError:
+            pass
+        # nothing is lost of any other part: its JSON is text
+        self.flat.append(escape(sound(part if isinstance(part, str) else json.dumps(part, ensure_ascii=False, sort_keys=True))))
 
     def visit_text(self, part) -> None:
-        self.flat.append(escape(str(part.get("text") or "")))
+        text = part.get("text")
+        if not isinstance(text, (str, type(None))):
+            raise ValueError(text)
+        self.flat.append(escape(sound(text or "")))
 
     def visit_image(self, part) -> None:
-        across, down = (-(-max(1, int(part.get(k) or 1)) // self.tile) for k in ("width", "height"))
+        across, down = (-(-max(1, int(amount(part.get(k), 1))) // self.tile) for k in ("width", "height"))
         self.attach("image", part, across * down)
 
     def visit_audio(self, part) -> None:
-        self.attach("audio", part, -(-int(float(part.get("seconds") or 0) * self.audio_rate * 1000) // 1000))
+        self.attach("audio", part, -(-int(amount(part.get("seconds"), 0) * self.audio_rate * 1000) // 1000))
 
     def visit_document(self, part) -> None:
-        self.attach("document", part, max(1, int(part.get("pages") or 1)) * self.page_tokens)
+        self.attach("document", part, max(1, int(amount(part.get("pages"), 1))) * self.page_tokens)
 
     def attach(self, kind: str, part: dict, tokens: int) -> None:
         n = len(self.attachments)
-        self.flat.append(f"<{kind}:{n}>")
-        own = part.get("tokens")
         ref = part.get("ref") or part.get("url")
-        self.attachments.append({"position": n, "kind": kind, "ref": ref, "tokens": int(tokens if own is None else own)})
+        if not isinstance(ref, (str, type(None))):
+            raise ValueError(ref)
+        expanded = int(amount(part.get("tokens"), min(tokens, MOST_TOKENS)))
+        self.flat.append(f"<{kind}:{n}>")
+        self.attachments.append({"position": n, "kind": kind, "ref": sound(ref), "tokens": expanded})
 
 
 def format_turn(role: str, content: str, typed: bool = False) -> tuple[str, list[dict], list[dict], int]:
     """The formatted turn, its loss spans (code points), its attachments and their tokens. With ``typed``, content that is a
-    JSON list is read as parts; other content, and JSON that cannot be read, is one text part."""
+    JSON list is read as parts; other content, and JSON that cannot be read or is nested too deeply, is one text part."""
     parts = [{"type": "text", "text": content}]
     if typed and content.lstrip().startswith("["):
         try:
             parts = json.loads(content)
-        except ValueError:
-            pass
+            json.dumps(parts)  # a part may be written out again
+        except (ValueError, RecursionError):
+            parts = [{"type": "text", "text": content}]
     visitor = PartVisitor()
     for part in parts:
         visitor.visit(part)

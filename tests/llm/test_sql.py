@@ -1,6 +1,7 @@
 """Operators that SQL can express, and the rules of urls, turns and mixing."""
 
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,27 @@ def test_parts_are_flattened_in_order():
     assert chat.format_turn("user", "[broken", typed=True)[0] == "[INST]\\[broken[/INST]"
 
 
+@pytest.mark.parametrize("part", [
+    '{"type": "image", "width": "wide"}', '{"type": "audio", "seconds": NaN}', '{"type": "audio", "seconds": Infinity}',
+    '{"type": "document", "pages": -1}', '{"type": "image", "tokens": "x"}', '{"type": "image", "tokens": 1e300}',
+    '{"type": "image", "ref": 5}', '{"type": "image", "width": true}', '{"type": "text", "text": [1]}', '{"type": [], "a": 1}', "null", "7",
+])
+def test_malformed_parts_are_text(part):
+    formatted, _, attachments, tokens = chat.format_turn("user", f'[{part}, {{"type": "image", "ref": "u"}}]', typed=True)
+    assert [(a["position"], a["ref"]) for a in attachments] == [(0, "u")] and tokens == 1
+    role, text = chat.parse_turn(formatted)
+    whole = json.dumps(json.loads(part), sort_keys=True)
+    assert role == "user" and text.startswith(whole) and text.endswith("<image:0>")
+
+
+def test_hostile_json_stays_in_the_table(spark):
+    texts = ["[" * 100_000, '[{"type": "text", "text": "a\\ud800b"}, {"type": "image", "url": "\\udc00"}]', '[{"type": "image", "width": 9e15, "height": 9e15}]', "[]"]
+    turns = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    found = [r.formatted for r in chat.format_conversations(turns, typed=True).orderBy("turn").collect()]
+    assert chat.parse_turn(found[0]) == ("user", texts[0])
+    assert found[1] == "[INST]a\ufffdb<image:0>[/INST]" and found[3] == "[INST][/INST]"
+
+
 @pytest.mark.parametrize("role", ["system", "user", "assistant", "tool", "", "a[SEP]b"])
 @pytest.mark.parametrize("text", ["", "plain", chat.CONTROL, "\\", "\\\\[", "[/TURN][SEP]</s", "é🙂\n" * 50])
 def test_turns_come_back(role, text):
