@@ -67,17 +67,24 @@ def _breaches(value: Column) -> Column:
     )
 
 
-def alarm_periods(metrics: DataFrame, alarms) -> DataFrame:
-    """Each alarm's statistic per period that has data.
+def matched(metrics: DataFrame, alarms) -> DataFrame:
+    """Metric rows with each alarm that reads them.
 
-    One pass over the metric rows for all alarms and periods: the rule table (one row per
-    configured alarm, hence the broadcast) is joined in and the period start computed per rule.
+    The rule table has one row per configured alarm, hence the broadcast.
     """
     rules = F.broadcast(rule_table(metrics.sparkSession, alarms))
     key = F.split_part("dimension", F.lit("="), F.lit(1))
     wanted = F.split_part("dimension", F.lit("="), F.lit(2))
     applies = (F.col("dimension") == "") | F.coalesce(F.try_element_at("dimensions", key) == wanted, F.lit(False))
-    rows = metrics.join(rules, ["namespace", "name"]).filter(applies)
+    return metrics.join(rules, ["namespace", "name"]).filter(applies)
+
+
+def alarm_periods(metrics: DataFrame, alarms) -> DataFrame:
+    """Each alarm's statistic per period that has data.
+
+    One pass over the metric rows for all alarms and periods, with the period start computed per rule.
+    """
+    rows = matched(metrics, alarms)
     seconds = F.unix_timestamp("ts")
     start = F.timestamp_seconds(seconds - F.pmod(seconds, F.col("period")))
     settings = ["alarm", "stat", "period", "op", "threshold", "periods", "missing"]
