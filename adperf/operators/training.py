@@ -10,6 +10,7 @@ from ..functions.bids import optimal_bid
 from ..functions.dates import cyclic, dow0, is_business_hours, is_peak_hours, is_weekend
 from ..functions.numbers import mean_of, percent, safe_ratio
 from ..functions.text import add_text_features
+from ..settings import shared_dir
 from .reports import down, last_days, mean, total, up
 from .views import measured
 
@@ -173,12 +174,61 @@ def prepare_bids(df: DataFrame, drop_leaky: bool = False) -> tuple[DataFrame, li
     return rows.select("campaign_id", BID_TARGET, *features), features
 
 
+FEW = 10_000  # values that one task may sort
+ACCURACY = 10_000  # of the quantile sketch that proposes the next range
+
+
+def value_at(rows: DataFrame, rank: int, n: int) -> float:
+    """The value of that rank, from 0, among the ``n`` of column ``v``, which has neither NULL nor NaN.
+
+    A quantile sketch, of a size that does not grow with the rows, proposes a range around the rank, and the rows below,
+    on and inside its ends are counted: the counts decide, so the value is exact. Each round leaves about 1/2000 of the rows.
+    """
+    v, inside, before = F.col("v"), rows, 0
+    spread = 2 / ACCURACY
+    while n > FEW:
+        place = (rank - before + 0.5) / n
+        ends = F.percentile_approx("v", [max(0.0, place - spread), min(1.0, place + spread)], ACCURACY)
+        low, high = inside.agg(ends).first()[0]
+        counts = [F.count(F.when(c, 1)) for c in (v < low, v == low, (v > low) & (v < high), v == high)]
+        less, on_low, between, on_high = inside.agg(*counts).first()
+        at = rank - before - less
+        if at < 0 or at >= on_low + between + (on_high if high > low else 0):
+            spread *= 2  # the sketch was further off than its accuracy says
+        elif at < on_low:
+            return low
+        elif at >= on_low + between:
+            return high
+        else:
+            inside, before, n = inside.filter((v > low) & (v < high)), before + less + on_low, between
+    return inside.agg(F.sort_array(F.collect_list("v"))[rank - before]).first()[0]
+
+
+def exact_median(rows: DataFrame, n: int) -> float | None:
+    """The median of the ``n`` values of column ``v``: the middle one, or the mean of the two in the middle."""
+    if n == 0:
+        return None
+    lower = value_at(rows, (n - 1) // 2, n)
+    if n % 2:
+        return lower
+    up_to, following = rows.agg(F.count(F.when(F.col("v") <= lower, 1)), F.min(F.when(F.col("v") > lower, F.col("v")))).first()
+    return (lower + (lower if up_to > n // 2 else following)) / 2
+
+
 def target_profile(df: DataFrame, target: str) -> DataFrame:
-    """Samples, range, mean and median of the target."""
-    return df.agg(
-        F.count(target).alias("samples"),
-        F.min(target).alias("minimum"),
-        F.max(target).alias("maximum"),
-        mean_of(target, 6).alias("mean"),
-        F.median(target).alias("median"),
+    """Samples, range, mean and median of the target.
+
+    The target column is written once, below ``spark.checkpoint.dir``, since the median's selection reads it several times;
+    no buffer grows with the number of distinct values.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "target")
+    df.select(F.col(target).alias("target")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    values = rows.select(F.col("target").cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    return rows.agg(
+        F.count("target").alias("samples"),
+        F.min("target").alias("minimum"),
+        F.max("target").alias("maximum"),
+        mean_of("target", 6).alias("mean"),
+        F.lit(exact_median(values, values.count())).cast("double").alias("median"),
     )

@@ -100,7 +100,14 @@ def raw_roundtrip(s, d):
 
 
 def recent_raw(s, d):
-    docs = raw.recent_files(raw.read_raw(s, written_raw(s, d), multi_line=False), AS_OF, 60)
+    return per_day(raw.recent_files(raw.read_raw(s, written_raw(s, d), multi_line=False), AS_OF, 60))
+
+
+def recent_raw_pruned(s, d):
+    return per_day(raw.read_recent(s, written_raw(s, d), AS_OF, 60, multi_line=False))
+
+
+def per_day(docs: DataFrame) -> DataFrame:
     return (
         docs.select(
             F.to_date(dates.instant("pulled_at")).alias("report_date"),
@@ -192,15 +199,13 @@ def sql_text(s, d):
 
 
 add("s01_raw_roundtrip", raw_roundtrip, o.sql("SELECT * FROM cp", "cp"))
-add(
-    "s04_recent_files",
-    recent_raw,
-    o.sql(
-        f"""SELECT report_date, COUNT(DISTINCT (pulled_ts, campaign_id)) AS documents, COUNT(*) AS elements
+RECENT_SQL = o.sql(
+    f"""SELECT report_date, COUNT(DISTINCT (pulled_ts, campaign_id)) AS documents, COUNT(*) AS elements
 FROM el WHERE report_date >= DATE '{AS_OF - timedelta(days=60)}' GROUP BY 1""",
-        "el",
-    ),
+    "el",
 )
+add("s04_recent_files", recent_raw, RECENT_SQL)
+add("s04_pruned", recent_raw_pruned, RECENT_SQL)
 add("s06_s10_training_files", training_roundtrip, o.sql("SELECT * FROM bset", "bset"))
 add("s07_daily_sink", daily_sink, o.sql("SELECT * FROM daily", "daily"))
 add("s08_creative_metadata_json", metadata_sink, o.sql("SELECT * FROM meta", "meta"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import re
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -137,6 +138,57 @@ def recent_files(df: DataFrame, as_of: date, days: int = 60) -> DataFrame:
     return df.filter((F.datediff(F.lit(as_of), d) <= days) | d.isNull())
 
 
+def _folder_date(names: list[str]) -> date | None:
+    """The date the last three folder names form, as ``path_date`` reads it."""
+    place = "/" + "/".join(names) + "/file"
+    found = re.search(PATH_DATE, place) or re.search(HIVE_DATE, place)
+    try:
+        return found and date(*map(int, found.groups()))
+    except ValueError:
+        return None
+
+
+def recent_paths(spark: SparkSession, path: str, as_of: date, days: int = 60) -> list[str]:
+    """What below ``path`` may hold files at most ``days`` old: day folders of the window, and files and folders without a date.
+
+    The names of folders are listed, at most 13 listings a year of dated folders, but never the files of a day folder:
+    the reader lists those of the days returned, in parallel. All that lies below a day's folder has that day. What
+    ``recent_files`` keeps is here; it may keep less.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest = as_of - timedelta(days=days)
+    wanted, todo = [], [(root, [])]
+    while todo:
+        folder, names = todo.pop()
+        files, below = [], []
+        for entry in fs.listStatus(folder):
+            name = entry.getPath().getName()
+            if name.startswith(".") or (name.startswith("_") and "=" not in name):
+                continue  # no data: the reader leaves these out as well
+            (below if entry.isDirectory() else files).append((entry.getPath(), [*names[-2:], name]))
+        if not below and files:
+            wanted.append(folder.toString())
+            continue
+        wanted += [place.toString() for place, _ in files]
+        for place, its_names in below:
+            day = _folder_date(its_names)
+            if day is None:
+                todo.append((place, its_names))
+            elif day >= oldest:
+                wanted.append(place.toString())
+    return sorted(wanted)
+
+
+def read_recent(spark: SparkSession, path: str, as_of: date, days: int = 60, **options) -> DataFrame:
+    """``recent_files`` of ``read_raw`` without listing the files of older days."""
+    paths = recent_paths(spark, path, as_of, days)
+    if not paths:
+        return spark.createDataFrame([], RAW_OR_CORRUPT if options.get("keep_corrupt") else RAW)
+    return recent_files(read_raw(spark, paths, **options), as_of, days)
+
+
 def only_campaigns(df: DataFrame, campaign_ids: str) -> DataFrame:
     """Keeps the campaigns of a comma-separated list; blanks are ignored, an empty list keeps none."""
     ids = [part.strip() for part in campaign_ids.split(",") if part.strip()]

@@ -94,3 +94,28 @@ def test_registry(spark, bids, tmp_path):
         registry.rollback("bid", 9, datetime(2024, 1, 3))
     metadata = spark.read.json(str(tmp_path / "models" / "bid" / "v=1" / "metadata")).first()
     assert metadata.target == "optimal_bid" and metadata.n_features == len(features)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 9_999, 30_001, 60_000])
+@pytest.mark.parametrize("value", ["cast(id as double)", "cast(id % 2 as double)", "exp(id % 700) * (id % 3 - 1)", "cast(xxhash64(id) as double)"])
+def test_exact_median(spark, monkeypatch, n, value):
+    monkeypatch.setattr(training, "FEW", 50)
+    rows = spark.range(n).select(F.expr(value).alias("v")).cache()
+    wanted = rows.agg(F.median("v")).first()[0]
+    found = training.exact_median(rows, n)
+    assert found is None if wanted is None else found == pytest.approx(wanted, rel=1e-15, abs=0)
+    rows.unpersist()
+
+
+def test_median_survives_a_poor_sketch(spark, monkeypatch):
+    monkeypatch.setattr(training, "FEW", 50)
+    monkeypatch.setattr(training.F, "percentile_approx", lambda c, at, _: F.array(F.min("v"), F.min("v")) if at[0] > 0.3 else F.array(F.min("v"), F.max("v")))
+    rows = spark.range(10_001).select(F.col("id").cast("double").alias("v")).cache()
+    monkeypatch.setattr(training, "ACCURACY", 20)
+    assert training.value_at(rows.filter("v <= 60"), 30, 61) == 30.0
+    rows.unpersist()
+
+
+def test_profile_of_an_empty_set(spark):
+    row = training.target_profile(spark.createDataFrame([], "y double"), "y").first()
+    assert row.samples == 0 and row.minimum is None and row.median is None

@@ -1,6 +1,6 @@
 import json
 import os
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +36,11 @@ def put(root, day, name, content):
         f.write(content if isinstance(content, str) else json.dumps(content, indent=2))
 
 
+def put_text(path, content):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(json.dumps(content))
+
+
 def test_pretty_documents_and_unnest(spark, tmp_path):
     root = str(tmp_path)
     put(root, "2024-12-01", "a.json", document(elements=[element(), element("c2")]))
@@ -99,6 +104,33 @@ def test_old_files_are_not_read(spark, tmp_path):
     assert sorted(r.campaign_id for r in kept.collect()) == ["k1", "sixty", "undated"]
 
 
+def test_files_of_old_days_are_not_listed(spark, tmp_path):
+    root = tmp_path / "raw"
+    for back in range(400):  # half of them in the one layout, half in the other
+        day = AS_OF - timedelta(days=back)
+        folder = f"{day:%Y/%m/%d}" if back % 2 else f"year={day.year}/month={day.month}/day={day.day}"
+        if back >= 70:
+            (root / folder).mkdir(parents=True)
+            (root / folder / "broken.json").mkdir()  # would be listed as a folder
+        else:
+            put_text(root / folder / "a.json", document(campaign=f"b{back}"))
+    put_text(root / "2023/notes/d.json", document(campaign="no month"))
+    put_text(root / "2023/13/45/d.json", document(campaign="no date"))
+    put_text(root / "client/2024/12/01/d.json", document(campaign="deeper"))
+    put_text(root / "client/2020/12/01/d.json", document(campaign="deeper, old"))
+    put_text(root / "beside.json", document(campaign="beside"))
+    put_text(root / "_hidden/e.json", document(campaign="hidden"))
+    paths = raw.recent_paths(spark, str(root), AS_OF, 60)
+    assert len(paths) == 61 + 4
+    docs = raw.read_recent(spark, str(root), AS_OF, 60)
+    kept = sorted(r.campaign_id for r in docs.collect())
+    assert kept == sorted([f"b{b}" for b in range(61)] + ["no month", "no date", "deeper", "beside"])
+    whole = raw.recent_files(raw.read_raw(spark, str(root)), AS_OF, 60)
+    assert kept == sorted(r.campaign_id for r in whole.collect())
+    none = raw.read_recent(spark, str(root / "client/2020"), AS_OF, 60, keep_corrupt=True)
+    assert none.isEmpty() and none.schema == raw.RAW_OR_CORRUPT
+
+
 def test_first_content_wins(spark, tmp_path):
     root = str(tmp_path)
     put(root, "2024-12-01", "a.json", document(elements=[element("c1"), element("c2", creativeContent={"headline": "H2"})]))
