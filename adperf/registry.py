@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import oracle as o
-from .functions import dates, text as tx
+from .functions import dates, sql as sql_helpers, text as tx
 from .functions.numbers import mean_of, round_half_up, to_number
 from .operators import aggregates, alarms, decisions, metrics, models, reports, training, views
 from .plans import jobs
@@ -198,6 +198,33 @@ def sql_text(s, d):
     )
 
 
+def sql_functions(s, d):
+    """The report of A5 over all its creatives, by SQL functions with labels of its ratios."""
+    cp(s, d).createOrReplaceTempView("creative_performance")
+    sql_helpers.register(s)
+    return s.sql(
+        f"""SELECT *, ad_ctr_rating(avg_ctr) AS ctr_label, ad_cpc_rating(avg_cpc) AS cpc_label, ad_performance_category(avg_ctr) AS category,
+       ad_percent(clicks, impressions) AS overall_ctr, ad_ratio(conversions, clicks) AS conversions_a_click,
+       ad_pacing_status(clicks * avg_cpc, 1000) AS pacing
+FROM ad_creatives(DATE '{AS_OF}', 7, 10)"""
+    )
+
+
+add(
+    "x04_sql_functions",
+    sql_functions,
+    o.sql(
+        f"""SELECT *, CASE WHEN avg_ctr > 2.5 THEN 'Excellent' WHEN avg_ctr > 1.5 THEN 'Good' WHEN avg_ctr > 0.8 THEN 'Fair' ELSE 'Needs improvement' END AS ctr_label,
+       CASE WHEN avg_cpc < 5 THEN 'Excellent' WHEN avg_cpc < 8 THEN 'Good' WHEN avg_cpc < 12 THEN 'Fair' ELSE 'Too expensive' END AS cpc_label,
+       CASE WHEN avg_ctr >= 3.0 THEN 'high' WHEN avg_ctr >= 1.5 THEN 'medium' WHEN avg_ctr >= 0.5 THEN 'low' ELSE 'very_low' END AS category,
+       {o.pct('clicks', 'impressions')} AS overall_ctr, {o.ratio('conversions', 'clicks')} AS conversions_a_click,
+       CASE WHEN clicks * avg_cpc < 800.0::DOUBLE THEN 'Under-pacing' WHEN clicks * avg_cpc > 1100.0::DOUBLE THEN 'Over-pacing' ELSE 'On track' END AS pacing
+FROM (SELECT creative_id, {o.isum('total_impressions')} AS impressions, {o.isum('total_clicks')} AS clicks, {o.avg('ctr_percent')} AS avg_ctr,
+             {o.avg('avg_cpc')} AS avg_cpc, {o.isum('total_conversions')} AS conversions, {o.avg('cost_per_conversion')} AS avg_cpa
+      FROM cp WHERE {o.days(7)} GROUP BY 1 HAVING SUM(total_clicks) > 10)""",
+        "cp",
+    ),
+)
 add("s01_raw_roundtrip", raw_roundtrip, o.sql("SELECT * FROM cp", "cp"))
 RECENT_SQL = o.sql(
     f"""SELECT report_date, COUNT(DISTINCT (pulled_ts, campaign_id)) AS documents, COUNT(*) AS elements

@@ -107,3 +107,21 @@ def test_bid_ranges(spark, rows):
     for r in df.select("*", bids.optimal_bid("ctr", "rate", "cpc").alias("a"), bids.heuristic_bid("ctr", "cpc").alias("b")).collect():
         assert r.a == r.cpc or 1 <= r.a <= 20
         assert r.b == r.cpc or 1 <= r.b <= 15
+
+
+def test_sql_functions_equal_the_columns(spark):
+    from adperf.functions import sql
+
+    spark.createDataFrame([], "report_date date, creative_id string, total_impressions bigint, total_clicks bigint, ctr_percent double, avg_cpc double, total_conversions bigint, cost_per_conversion double").createOrReplaceTempView("creative_performance")
+    sql.register(spark)
+    sql.register(spark)  # again: replaced
+    values = [None, 0.0, 0.5, 0.8, 1.5, 2.5, 2.675, 3.0, 5.0, 8.0, 11.0, 12.0]
+    grid = spark.createDataFrame([(a, b) for a in values for b in values], "a double, b double")
+    pairs = {
+        "ad_ratio(a, b)": numbers.safe_ratio("a", "b"), "ad_percent(a, b)": numbers.percent("a", "b"),
+        "ad_ctr_rating(a)": ratings.ctr_rating("a"), "ad_cpc_rating(a)": ratings.cpc_rating("a"),
+        "ad_pacing_status(a, b)": ratings.pacing_status("a", "b"), "ad_performance_category(a)": ratings.performance_category("a"),
+    }
+    for call, column in pairs.items():
+        assert grid.filter(~F.expr(call).eqNullSafe(column)).count() == 0, call
+    assert spark.sql("SELECT * FROM ad_creatives(DATE '2024-01-01', 7, 10)").count() == 0
