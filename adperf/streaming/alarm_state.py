@@ -103,22 +103,29 @@ def alarm_states(metrics: DataFrame, alarms=CATALOGUE, delay: str = "1 day") ->
     return found.withColumn("period_start", F.timestamp_seconds("period_start"))
 
 
-def run_alarm_states(metrics: DataFrame, out: str, checkpoint: str, alarms=CATALOGUE, delay: str = "1 day") -> DataFrame:
+def run_alarm_states(
+    metrics: DataFrame, out: str, checkpoint: str, alarms=CATALOGUE, delay: str = "1 day", partitions: int = 4
+) -> DataFrame:
     """Runs ``alarm_states`` over the rows that are there and appends the states of closed periods to ``out``.
 
     The next run continues from ``checkpoint``, where the state is kept as well, so it must be a folder all executors
-    reach. Timers and maps need the RocksDB state store; the session's setting is put back afterwards.
+    reach. Timers and maps need the RocksDB state store, with files of its own for each of the ``partitions`` of state. Rows
+    reach these summed, so a few suffice for hundreds of alarms, however many the metric rows; the first run's number
+    holds. The session's settings are put back afterwards.
     """
     spark = metrics.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    settings = {PROVIDER: ROCKSDB, "spark.sql.shuffle.partitions": str(partitions)}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         states = alarm_states(metrics, alarms, delay)
         sink = states.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         sink.outputMode("append").trigger(availableNow=True).start().awaitTermination()
         return spark.read.schema(states.schema).parquet(out)
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def tick(spark: SparkSession, at: datetime, schema) -> DataFrame:
