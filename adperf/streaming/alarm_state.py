@@ -14,6 +14,7 @@ from ..operators.alarms import CATALOGUE, matched
 STATES = "alarm string, period_start bigint, value double, breach boolean, breach_run int, state string"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 CLOCK = "clock"
 
 
@@ -109,13 +110,13 @@ def run_alarm_states(
     """Runs ``alarm_states`` over the rows that are there and appends the states of closed periods to ``out``.
 
     The next run continues from ``checkpoint``, where the state is kept as well, so it must be a folder all executors
-    reach. Timers and maps need the RocksDB state store, with files of its own for each of the ``partitions`` of state. Rows
-    reach these summed, so a few suffice for hundreds of alarms, however many the metric rows; the first run's number
-    holds. The session's settings are put back afterwards.
+    reach. Timers and maps need the RocksDB state store, with files of its own for each of the ``partitions`` of state. Their
+    disk space is not allocated in advance, which would be megabytes for a few states each. Rows reach these summed, so a
+    few partitions suffice for hundreds of alarms, however many the metric rows; the first run's number holds. The session's settings are put back afterwards.
     """
     spark = metrics.sparkSession
-    settings = {PROVIDER: ROCKSDB, "spark.sql.shuffle.partitions": str(partitions)}
-    before = {name: spark.conf.get(name) for name in settings}
+    settings = {PROVIDER: ROCKSDB, PREALLOCATE: "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
@@ -125,7 +126,7 @@ def run_alarm_states(
         return spark.read.schema(states.schema).parquet(out)
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def tick(spark: SparkSession, at: datetime, schema) -> DataFrame:
