@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import oracle as o
 from .functions import dates, sql as sql_helpers, text as tx
 from .functions.numbers import mean_of, round_half_up, to_number
-from .operators import aggregates, alarms, decisions, metrics, models, reports, training, views
+from .operators import aggregates, alarms, decisions, metrics, models, reports, training, trees, views
 from .plans import jobs
 from .settings import AS_OF, configure, shared_dir
 from .sources import raw, sinks, tables
@@ -1176,7 +1176,47 @@ def boosted_cv(s, d):
     return models.cross_validate(models.bid_model(train, features), train, "optimal_bid", *BID_KEYS)
 
 
+def pruned_scores(s, d, fitted, kind, min_split, target, keys):
+    """Every row's score by the pruned trees, beside what holds for it whatever the fit.
+
+    ``agrees``: the unpruned node table gives the fitted model's own prediction. ``in_range``: the pruned score of a forest
+    lies between the smallest and the largest training target; of boosting it is finite. ``small_splits``: splits of too
+    few rows that remain.
+    """
+    model, train, test, _ = fitted(s, d)
+    path = shared_dir(s, "nodes")
+    whole = jobs.store(trees.nodes(s, model, f"{path}/model"), f"{path}/whole")
+    fewer = jobs.store(trees.pruned(whole, min_split), f"{path}/pruned")
+    rows = train.unionByName(test)
+    own = models.score(model, rows, rows.columns, "own")
+    scored = trees.score(model, fewer, trees.score(model, whole, own, "by_nodes"), "pruned")
+    low, high = train.agg(F.min(target), F.max(target)).first()
+    margin = 1e-9 * max(1.0, abs(low or 0.0), abs(high or 0.0))
+    bounded = F.col("pruned").between((low or 0.0) - margin, (high or 0.0) + margin) if kind == "forest" else F.abs("pruned") < float("inf")
+    small = fewer.filter((F.col("left") >= 0) & (F.col("n_rows") < min_split)).count()
+    return scored.select(
+        *keys, target, (F.abs(F.col("own") - F.col("by_nodes")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("own"))).alias("agrees"),
+        (bounded & ~F.isnan("pruned")).alias("in_range"), F.lit(small).cast("bigint").alias("small_splits"),
+    )
+
+
 add("m07_creative_scorer", forest_predictions)
+add(
+    "m07_pruned",
+    lambda s, d: pruned_scores(s, d, forest, "forest", trees.CREATIVE_SPLIT, "avg_ctr", ["creative_id"]),
+    o.sql(
+        "SELECT creative_id, avg_ctr, TRUE AS agrees, TRUE AS in_range, CAST(0 AS BIGINT) AS small_splits FROM cset WHERE avg_ctr IS NOT NULL", "cset"
+    ),
+)
+add(
+    "m08_pruned",
+    lambda s, d: pruned_scores(s, d, boosted, "boosting", trees.BID_SPLIT, "optimal_bid", list(BID_KEYS)),
+    o.sql(
+        f"""SELECT {", ".join(BID_KEYS)}, optimal_bid, TRUE AS agrees, TRUE AS in_range, CAST(0 AS BIGINT) AS small_splits
+FROM bset WHERE optimal_bid > 0 AND optimal_bid < 50""",
+        "bset",
+    ),
+)
 add("m08_bid_model", bid_predictions)
 add("m09_batch_scoring", reloaded_scores)
 add("m09_model_bids", model_bids)
