@@ -25,6 +25,10 @@ def op2_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_with_edits(read(spark, sf_dir, "documents"))
 
 
+def spot_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.near_documents(read(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"))
 
@@ -79,6 +83,7 @@ QUERIES = {
     for f in (
         op1_token_counts, op2_spot_signatures, op3_url_filter, op4_source_mix, op5_embedding_links, op6_packing, op7_toxicity, op8_language_id,
         op9_chat_formatting, op10_near_duplicates, op11_periodic_runs, op12_embedding_whitening, op13_quality_rules, quality_ablations,
+        spot_near_documents,
     )
 }
 ORACLE = {

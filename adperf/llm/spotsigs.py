@@ -154,10 +154,16 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
 
     Classes are named by their smallest doc_id. Sets are partitioned by length so that only sets of one or of
     neighbouring partitions can be alike; inside these, two sets are compared only if they share one of their rarest
-    signatures, as many as a pair above the threshold cannot avoid sharing. Empty texts and NULL ids are left out.
+    signatures, as many as a pair above the threshold cannot avoid sharing. Empty texts and NULL ids are left out. Of rows that
+    share an id the one whose fingerprint has the smallest digest counts.
     """
     found = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), signatures(whole_text(docs)).alias("signs"))
     found = stored(found.filter(F.size("signs") > 0).withColumn("key", F.sha2(printed(F.col("signs")), 256)), "spot-found")
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n_rows"), F.min("key").alias("first")).filter("n_rows > 1")
+    repeated = stored(repeated, "spot-repeated")
+    if not repeated.isEmpty():
+        found = found.join(repeated, "doc_id", "left").filter("n_rows IS NULL OR key = first").select("doc_id", "signs", "key")
+        found = stored(found.dropDuplicates(["doc_id"]), "spot-first")
     classes = stored(found.groupBy("key").agg(F.min("doc_id").alias("class")), "spot-classes")
     members = found.select("doc_id", "key").join(classes, "key").select("doc_id", "class")
     one = found.join(classes, (found["key"] == classes["key"]) & (found["doc_id"] == classes["class"])).select("class", "signs")
@@ -178,3 +184,24 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
     pairs = pairs.join(one.select(F.col("class").alias("a"), F.col("signs").alias("x")), "a").join(one.select(F.col("class").alias("b"), F.col("signs").alias("y")), "b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likeness(F.col("x"), F.col("y"), least).alias("likeness"))
     return pairs.filter(F.col("likeness") >= least), members
+
+
+def near_documents(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """One row per doc_id: ``class`` (the smallest id of an equal fingerprint), ``n_links`` (classes of other fingerprints with at
+    least that likeness), ``nearest`` (the likest of these, the smallest of equally like ones) and ``likeness`` to it.
+
+    Pairs are found by ``near_pairs``: between classes, so copies are not expanded. An empty or NULL text is a class of its
+    own without links; rows without doc_id are left out; an empty table gives no rows, other columns are ignored.
+    """
+    pairs, members = near_pairs(docs, least)
+    both = pairs.select("a", "b", "likeness").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "likeness"))
+    links = both.groupBy(F.col("a").alias("class")).agg(
+        F.count("*").alias("n_links"), F.max(F.struct("likeness", (-F.col("b")).alias("other"))).alias("best")
+    )
+    empty = docs.filter(F.col("doc_id").isNotNull()).filter(whole_text(docs) == "").select(F.col("doc_id").cast("long").alias("doc_id"))
+    without = empty.distinct().join(members, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class"))
+    found = members.unionByName(without).join(links, "class", "left")
+    return found.select(
+        "doc_id", "class", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        (-F.col("best.other")).alias("nearest"), F.col("best.likeness").alias("likeness"),
+    )

@@ -281,6 +281,24 @@ def test_fingerprint_pairs(spark, small):
     wanted = {(b, a) for k, a in enumerate(names) for b in names[:k] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert {(r.a, r.b) for r in pairs.collect()} == wanted and wanted
     assert {(r.doc_id, r["class"]) for r in members.collect()} == {(i, first[s]) for i, s in signs.items() if s}
+    like = {(x, y): len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for a, b in wanted for x, y in ((a, b), (b, a))}
+    expected = set()
+    for i, s in signs.items():
+        of = first[s] if s else i
+        near = sorted((-v, y) for (x, y), v in like.items() if x == of)
+        expected.add((i, of, len(near), near[0][1] if near else None, -near[0][0] if near else None))
+    assert {tuple(r) for r in spotsigs.near_documents(docs).collect()} == expected
+
+
+def test_near_documents_with_repeated_ids_and_without_texts(spark):
+    long = "the quick fox and the lazy dog of a town in the north"
+    rows = [(1, long), (1, long), (1, "the other words of a text"), (2, long), (3, ""), (4, None), (3, None), (None, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("class", F.lit("x")).withColumn("signs", F.lit(1))
+    found = sorted(spotsigs.near_documents(docs).collect())
+    assert [r.doc_id for r in found] == [1, 2, 3, 4]
+    assert [(r["class"], r.n_links, r.nearest) for r in found[2:]] == [(3, 0, None), (4, 0, None)]
+    assert found[0]["class"] == 1 and found[1]["class"] in (1, 2) and not any(r.n_links for r in found)
+    assert spotsigs.near_documents(docs.limit(0)).count() == 0
 
 
 def test_ring_of_sparse_ids(spark):
