@@ -7,6 +7,7 @@ from datetime import datetime
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -158,39 +159,67 @@ REGISTRY = (
 
 
 class ModelRegistry:
-    """Versioned models below a root folder, and an append-only table of what is in production.
+    """Versioned models below a root folder, and the log of what is in production.
 
-    Every publication or rollback appends a row; the last row of a name decides.
+    Every publication or rollback appends an entry, a file named by its number; the last entry of a name decides. Versions and
+    entries are taken by creating a file that must not exist yet, so publishers that run at once never share one. The file
+    system must do that atomically (HDFS and local ones do; an object store needs conditional writes). A publisher that
+    ends early leaves a version without an entry, or an empty entry: neither is ever in production.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _table(self) -> str:
-        return f"{self.root}/registry"
+    def _path(self, place: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{place}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def rows(self) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._table())
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _numbers(self, folder: str) -> list[int]:
+        path, fs = self._path(folder)
         if not fs.exists(path):
+            return []
+        names = [f.getPath().getName().removesuffix(".json") for f in fs.listStatus(path)]
+        return [int(n) for n in names if n.isdigit()]
+
+    def _claim(self, folder: str, suffix: str, content) -> int:
+        """Takes the first number of ``folder`` that no other publisher has, and writes ``content`` of it into its file."""
+        number = max(self._numbers(folder), default=0)
+        while True:
+            number += 1
+            path, fs = self._path(f"{folder}/{number:012d}{suffix}")
+            try:
+                out = fs.create(path, False)
+            except Py4JJavaError:
+                if not fs.exists(path):
+                    raise
+                continue
+            try:
+                out.write(bytearray(content(number), "utf-8"))
+            finally:
+                out.close()
+            return number
+
+    def rows(self) -> DataFrame:
+        if not self._numbers("registry"):
             return self.spark.createDataFrame([], REGISTRY)
-        return self.spark.read.schema(REGISTRY).json(self._table())
+        return self.spark.read.schema(REGISTRY).json(f"{self.root}/registry")
 
     def next_version(self, name: str) -> int:
-        """The highest version of the name plus 1."""
-        return (self.rows().filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
+        """The highest version that was taken for the name, published or not, plus 1."""
+        return max(self._numbers(f"{name}/claims"), default=0) + 1
 
-    def _append(self, row: tuple) -> None:
-        self.spark.createDataFrame([row], REGISTRY).write.mode("append").json(self._table())
+    def _append(self, name, version, model_type, at, metrics, path) -> None:
+        row = {
+            "name": name, "version": version, "model_type": model_type, "created_at": at.isoformat(), "metrics": metrics,
+            "path": path, "status": "production",
+        }
+        self._claim("registry", ".json", lambda number: json.dumps(row | {"entered": number}) + "\n")
 
     def publish(
         self, name: str, model: PipelineModel, model_type: str, metrics: dict, features, target: str, at: datetime
     ) -> int:
-        """Stores the model with its feature list, metrics and metadata as the next version, in production.
-
-        Saving fails if the version's folder exists, so two publishers cannot take the same number.
-        """
-        version = self.next_version(name)
+        """Stores the model with its feature list, metrics and metadata as the next version, then puts it into production."""
+        version = self._claim(f"{name}/claims", "", lambda number: "")
         base = f"{self.root}/{name}/v={version}"
         model.save(f"{base}/model")
         metadata = {
@@ -199,16 +228,12 @@ class ModelRegistry:
         }
         for part, content in (("features", {"features": list(features)}), ("metrics", metrics), ("metadata", metadata)):
             self.spark.createDataFrame([(json.dumps(content),)], "value string").write.text(f"{base}/{part}")
-        self._append((name, version, model_type, at, json.dumps(metrics), f"{base}/model", "production", self._entry()))
+        self._append(name, version, model_type, at, json.dumps(metrics), f"{base}/model")
         return version
 
-    def _entry(self) -> int:
-        return self.rows().count() + 1
-
     def current(self, name: str):
-        """The registry row in production, or None."""
-        last = F.max_by(F.struct("version", "path", "model_type", "metrics"), F.struct("entered", "created_at", "version")).alias("last")
-        # ``entered`` can tie when two publishers run at once; the later row, then the higher version, decides.
+        """The entry in production, or None."""
+        last = F.max_by(F.struct("version", "path", "model_type", "metrics"), "entered").alias("last")
         row = self.rows().filter((F.col("name") == name) & (F.col("status") == "production")).agg(last).first()
         return row["last"]
 
@@ -217,7 +242,7 @@ class ModelRegistry:
         old = self.rows().filter((F.col("name") == name) & (F.col("version") == version)).first()
         if old is None:
             raise ValueError(f"{name} has no version {version}")
-        self._append((name, version, old["model_type"], at, old["metrics"], old["path"], "production", self._entry()))
+        self._append(name, version, old["model_type"], at, old["metrics"], old["path"])
 
     def load(self, name: str) -> PipelineModel | None:
         row = self.current(name)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import oracle as o
@@ -1200,7 +1202,36 @@ def pruned_scores(s, d, fitted, kind, min_split, target, keys):
     )
 
 
+def published(s, d):
+    """The bid model published by two publishers at once and once more, then rolled back to version 1: one row per version with
+    its entries, and the rows that the version in production scores."""
+    model, train, test, features = boosted(s, d)
+    store = models.ModelRegistry(s, shared_dir(s, "registry"))
+    publish = lambda day: store.publish("bid", model, "GBTRegressor", {}, features, "optimal_bid", datetime(2001, 6, day))
+    with ThreadPool(2) as pool:
+        pool.map(inheritable_thread_target(s)(publish), (1, 2))
+    publish(3)
+    store.rollback("bid", 1, datetime(2001, 6, 4))
+    version = store.current("bid")["version"]
+    scored = models.score(store.load("bid"), train.unionByName(test), [], "bid").filter("bid IS NOT NULL").count()
+    entries = store.rows().groupBy("version").agg(F.count("*").alias("entries"))
+    return entries.select(
+        "version", "entries", (F.col("version") == version).alias("in_production"),
+        F.when(F.col("version") == version, F.lit(scored)).cast("bigint").alias("scored"),
+    )
+
+
 add("m07_creative_scorer", forest_predictions)
+add(
+    "m14_registry",
+    published,
+    o.sql(
+        """SELECT v.version, v.entries, v.version = 1 AS in_production, CASE WHEN v.version = 1 THEN n.scored END AS scored
+FROM (VALUES (1, CAST(2 AS BIGINT)), (2, CAST(1 AS BIGINT)), (3, CAST(1 AS BIGINT))) v(version, entries),
+     (SELECT COUNT(*) AS scored FROM bset WHERE optimal_bid > 0 AND optimal_bid < 50) n""",
+        "bset",
+    ),
+)
 add(
     "m07_pruned",
     lambda s, d: pruned_scores(s, d, forest, "forest", trees.CREATIVE_SPLIT, "avg_ctr", ["creative_id"]),

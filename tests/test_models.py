@@ -1,5 +1,6 @@
 import math
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,25 @@ def test_registry(spark, bids, tmp_path):
     assert metadata.target == "optimal_bid" and metadata.n_features == len(features)
 
 
+def test_publishers_at_once_and_ones_that_end_early(spark, bids, tmp_path):
+    rows, features = bids
+    model = models.fit(models.bid_model(rows, features, rounds=1), rows)
+    registry = models.ModelRegistry(spark, str(tmp_path / "models"))
+    with ThreadPool(4) as pool:
+        versions = pool.map(lambda n: registry.publish("bid", model, "GBTRegressor", {"n": n}, features, "optimal_bid", datetime(2024, 1, 1)), range(4))
+    assert sorted(versions) == [1, 2, 3, 4]
+    entries = registry.rows().collect()
+    assert sorted(r.entered for r in entries) == [1, 2, 3, 4] and sorted(r.version for r in entries) == [1, 2, 3, 4]
+    last = registry.current("bid")["version"]
+    assert last == max(entries, key=lambda r: r.entered).version
+    # one that took a version and an entry, and wrote neither
+    assert registry._claim("bid/claims", "", lambda n: "") == 5 and registry._claim("registry", ".json", lambda n: "") == 5
+    assert registry.current("bid")["version"] == last and registry.next_version("bid") == 6
+    registry.rollback("bid", 1, datetime(2024, 1, 2))
+    assert registry.current("bid")["version"] == 1 and registry.rows().agg(F.max("entered")).first()[0] == 6
+    assert registry.publish("other", model, "GBTRegressor", {}, features, "optimal_bid", datetime(2024, 1, 3)) == 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 9_999, 30_001, 60_000])
 @pytest.mark.parametrize("value", ["cast(id as double)", "cast(id % 2 as double)", "exp(id % 700) * (id % 3 - 1)", "cast(xxhash64(id) as double)"])
 def test_exact_median(spark, monkeypatch, n, value):
