@@ -163,7 +163,7 @@ class ModelRegistry:
 
     Every publication or rollback appends an entry, a file named by its number; the last entry of a name decides. Versions and
     entries are taken by creating a file that must not exist yet, so publishers that run at once never share one. The file
-    system must do that atomically (HDFS and local ones do; an object store needs conditional writes). A publisher that
+    system must do that atomically (HDFS does, local files are created so; an object store needs conditional writes). A publisher that
     ends early leaves a version without an entry, or an empty entry: neither is ever in production.
     """
 
@@ -187,6 +187,14 @@ class ModelRegistry:
         while True:
             number += 1
             path, fs = self._path(f"{folder}/{number:012d}{suffix}")
+            if fs.getScheme() == "file":  # Hadoop's local files are looked for, then created: not exclusive
+                fs.mkdirs(path.getParent())
+                try:
+                    with open(path.toUri().getPath(), "x") as own:
+                        own.write(content(number))
+                except FileExistsError:
+                    continue
+                return number
             try:
                 out = fs.create(path, False)
             except Py4JJavaError:
