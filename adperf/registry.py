@@ -91,7 +91,7 @@ def written_raw(s: SparkSession, d: str) -> str:
     key = (s.sparkContext.applicationId, d)
     if key not in _RAW_PATHS:
         path = shared_dir(s, "raw")
-        raw.write_raw(raw.raw_documents(el(s, d)), path)
+        raw.write_raw(raw.raw_documents(el(s, d)), path, compression="gzip")
         _RAW_PATHS[key] = path
     return _RAW_PATHS[key]
 
@@ -1296,7 +1296,7 @@ def as_lines(docs: DataFrame) -> DataFrame:
 
 def written_lines(s, lines: DataFrame) -> str:
     path = shared_dir(s, "delivered")
-    lines.select("text").write.text(path)
+    lines.select("text").write.text(path, compression="gzip")
     return path
 
 

@@ -247,24 +247,33 @@ def raw_documents(elements: DataFrame, pieces: int = 1) -> DataFrame:
     """
     keys = ["pulled_ts", "campaign_id", "campaign_name", "campaign_status", "daily_budget", "unit_cost"]
     part = F.pmod(F.xxhash64("creative_id"), F.lit(pieces)).cast("int") if pieces > 1 else F.lit(None).cast("int")
-    numbered = elements.withColumn("part", part)
-    day = F.struct(
-        F.dayofmonth("report_date").alias("day"),
-        F.month("report_date").alias("month"),
-        F.year("report_date").alias("year"),
-    )
-    content = F.col("content") if "content" in elements.columns else F.lit(None).cast(CONTENT)
-    element = F.struct(
-        F.col("creative_id").alias("pivotValue"),
-        F.struct(day.alias("start"), day.alias("end")).alias("dateRange"),
-        "impressions",
-        "clicks",
-        F.col("cost").alias("costInUsd"),
-        F.col("conversions").alias("externalWebsiteConversions"),
-        F.col("unique_impressions").alias("approximateUniqueImpressions"),
-        content.alias("creativeContent"),
-    )
-    grouped = numbered.groupBy(*keys, "part").agg(F.collect_list(element).alias("elements"))
+    measures = ["report_date", "impressions", "clicks", "cost", "conversions", "unique_impressions"]
+    content = ["content"] if "content" in elements.columns else []
+    element = F.struct("creative_id", *measures, *content).alias("element")
+    # Elements cross the network once and narrow; each task then groups its own share, not the whole span of keys. Their copies of a
+    # pull's columns compress so well that shares joined by their shuffled bytes would not fit a task's sort buffer.
+    parts = int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = elements.select(*keys, part.alias("part"), element).repartition(parts, "pulled_ts", "campaign_id", *["part"] * (pieces > 1))
+    gathered = dealt.groupBy(*keys, "part").agg(F.collect_list("element").alias("elements"))
+
+    def document(e: Column) -> Column:
+        day = F.struct(
+            F.dayofmonth(e["report_date"]).alias("day"),
+            F.month(e["report_date"]).alias("month"),
+            F.year(e["report_date"]).alias("year"),
+        )
+        return F.struct(
+            e["creative_id"].alias("pivotValue"),
+            F.struct(day.alias("start"), day.alias("end")).alias("dateRange"),
+            e["impressions"].alias("impressions"),
+            e["clicks"].alias("clicks"),
+            e["cost"].alias("costInUsd"),
+            e["conversions"].alias("externalWebsiteConversions"),
+            e["unique_impressions"].alias("approximateUniqueImpressions"),
+            (e["content"] if content else F.lit(None).cast(CONTENT)).alias("creativeContent"),
+        )
+
+    grouped = gathered.withColumn("elements", F.transform("elements", document))
     usd = F.lit("USD").alias("currencyCode")
     return grouped.select(
         iso_text("pulled_ts").alias("pulled_at"),
@@ -285,10 +294,11 @@ def raw_documents(elements: DataFrame, pieces: int = 1) -> DataFrame:
     )
 
 
-def write_raw(documents: DataFrame, path: str, mode: str = "append") -> None:
+def write_raw(documents: DataFrame, path: str, mode: str = "append", compression: str = "none") -> None:
     """One document per line below ``year=/month=/day=``; halves that are missing become ``{}``.
 
-    The rebalance lets Spark split days that are large and merge days that are small.
+    The rebalance lets Spark split days that are large and merge days that are small. Most of a document is field names: with
+    ``compression`` (``gzip``) files take about a fortieth. One such file is read by one task, and the rebalance bounds its size.
     """
     pulled = instant("pulled_at")
     halves = documents.withColumns(
@@ -304,7 +314,7 @@ def write_raw(documents: DataFrame, path: str, mode: str = "append") -> None:
             "day": F.lpad(F.dayofmonth(pulled).cast("string"), 2, "0"),
         }
     )
-    dated.hint("rebalance", "year", "month", "day").write.mode(mode).partitionBy("year", "month", "day").json(path)
+    dated.hint("rebalance", "year", "month", "day").write.mode(mode).partitionBy("year", "month", "day").json(path, compression=compression)
 
 
 def first_content(raw: DataFrame) -> DataFrame:

@@ -256,3 +256,19 @@ def test_latest_pull_keeps_the_last_of_the_day(spark, elements):
     row = views.latest_pull(df).first()
     assert (row.total_impressions, row.total_clicks) == (1901, 19)
     assert views.creative_performance(df).first().total_impressions == 100 * (1 + 7 + 13 + 19) + 1
+
+
+def test_documents_are_shuffled_narrow_and_written_compressed(spark, tmp_path, elements):
+    rows = [("2024-12-01", h, f"k{c % 3}", f"c{c}", 100 * c, c, 0.5 * c, 1) for c in range(40) for h in (6, 12)]
+    docs = raw.raw_documents(elements(rows))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    # The elements cross the network once, as they are: no list of nested elements does.
+    assert plan.count("Exchange") == 1 and "collect_list" not in plan[plan.index("Exchange"):]
+    raw.write_raw(docs, str(tmp_path / "raw"), compression="gzip")
+    files = [f for _, _, names in os.walk(tmp_path / "raw") for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    read = raw.read_raw(spark, str(tmp_path / "raw"), multi_line=False)
+    columns = ["creative_id", "campaign_id", "pulled_ts", "report_date", "element_date", "impressions", "clicks", "cost", "conversions"]
+    found = [tuple(r) for r in raw.explode_elements(read).select(*columns).collect()]
+    whole = elements(rows).withColumn("element_date", F.col("report_date")).select(*columns).collect()
+    assert read.count() == 6 and sorted(found) == sorted(map(tuple, whole))
