@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.dates import instant, week_start
 from ..operators.aggregates import daily_aggregates, weekly_summaries
 from ..operators.views import creative_performance, measured
+from ..settings import shared_dir
 from ..sources.raw import CORRUPT, RAW_OR_CORRUPT, explode_elements, reject_reason
 from ..sources.schema import ELEMENT_COLUMNS, RAW
 from ..sources.sinks import period_of, with_period, write_partitioned
@@ -69,13 +70,12 @@ class Store:
 
     def current(self, periods: list[date | None] | None = None) -> DataFrame:
         """The elements of the versions that hold. Versions that a later delivery replaced are taken out by their digests:
-        few, and none in most periods, so the elements are not shuffled for it."""
+        few, and none in most periods, so the elements are not shuffled for it. The digests are found when this is called."""
         rows, sent = self.elements(), self.deliveries()
         if periods is not None:
             rows, sent = rows.filter(one_of("period", periods)), sent.filter(one_of("period", periods))
         holds = self.pulls(periods).filter("versions > 1").select("pull", F.col("digest").alias("holds"))
-        old = sent.join(holds, "pull").filter("digest <> holds").select("digest").distinct()
-        return rows.join(old, "digest", "left_anti")
+        return without(rows, noted(sent.join(holds, "pull").filter("digest <> holds").select("digest").distinct()))
 
     def periods_of_months(self, months: list[date]) -> list[date]:
         """The periods that some months hold: themselves or their days."""
@@ -107,6 +107,27 @@ def one_of(column: str, days: list[date | None]) -> Column:
     return F.expr(" OR ".join(tests) or "false")
 
 
+def noted(digests: DataFrame) -> DataFrame | None:
+    """Distinct digests written once, None if there are none. What joins them with documents or elements knows their size before it
+    starts, so the larger side is shuffled only where the digests are too many to be sent to every task."""
+    path = shared_dir(digests.sparkSession, "digests")
+    digests.write.parquet(path)
+    kept = digests.sparkSession.read.schema("digest string").parquet(path)
+    return None if kept.isEmpty() else kept
+
+
+def without(rows: DataFrame, digests: DataFrame | None) -> DataFrame:
+    return rows if digests is None else rows.join(digests, "digest", "left_anti")
+
+
+def each_once(documents: DataFrame) -> DataFrame:
+    """One document of each digest; only documents that come more than once are compared as a whole."""
+    again = noted(documents.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
+    if again is None:
+        return documents
+    return without(documents, again).unionByName(documents.join(again, "digest", "left_semi").dropDuplicates(["digest"]))
+
+
 def stream_raw(spark: SparkSession, path: str, multi_line: bool = True, files_per_batch: int | None = None) -> DataFrame:
     """New raw documents below ``path`` as a stream, with the file each came in (``origin``) and that file's time (``delivered``).
 
@@ -199,17 +220,19 @@ def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date
     if not periods:
         return []
     last = good.groupBy("digest").agg(F.max("delivered").alias("delivered"), F.min("origin").alias("origin"))
-    versions = good.drop("delivered", "origin").dropDuplicates(["digest"]).join(last, "digest")  # equal digests are equal documents
-    sent = versions.select(
-        "pull", "digest", "delivered", "origin", "campaign_id", "pulled_at", "part", F.col("date_range.end").alias("run_at"),
+    described = good.select(
+        "pull", "digest", "campaign_id", "pulled_at", "part", F.col("date_range.end").alias("run_at"),
         F.coalesce(F.size("analytics.elements"), F.lit(0)).alias("elements"),
         F.col("analytics.elements").isNotNull().alias("has_analytics"), F.col("campaign_config.id").isNotNull().alias("has_config"), "period",
     )
+    sent = described.dropDuplicates(["digest"]).join(last, "digest")  # equal digests are equal documents
+    sent = sent.select("pull", "digest", "delivered", "origin", *described.columns[2:])
     columns = [*ELEMENT_COLUMNS, "element_date", "content", "part", "pulled_at", "digest"]
-    rows = with_period(explode_elements(good.dropDuplicates(["digest"]), "digest"), "report_date", store.unit).select(*columns, "period")
+    fresh = good
     if store.exists("elements"):
-        others = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != key))
-        rows = rows.join(others.select("digest").distinct(), "digest", "left_anti")
+        others = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != key)).select("digest").distinct()
+        fresh = without(good, noted(good.select("digest").distinct().join(others, "digest", "left_semi")))
+    rows = with_period(explode_elements(each_once(fresh), "digest"), "report_date", store.unit).select(*columns, "period")
     _write_batch(rows.select(*columns, "period"), store.path("elements"), key, "period")
     # Last, so that a version holds only once its elements are stored.
     _write_batch(sent, store.path("deliveries"), key, "period")
@@ -239,7 +262,7 @@ def refresh(store: Store, periods: list[date | None]) -> None:
     _replace(store, with_period(touched, "report_date", store.unit), "daily", periods, left)
     weeks, weekly_periods = _weeks(store, daily, periods)
     _replace(store, weeks, "weekly", weekly_periods, touched_periods(weeks))
-    lifetime.refresh(store, periods, left)
+    lifetime.refresh(store, days, periods, left)
 
 
 def _weeks(store: Store, daily: DataFrame, periods: list[date | None]) -> tuple[DataFrame, list[date | None]]:

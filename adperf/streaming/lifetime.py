@@ -111,11 +111,11 @@ def months_of(periods: list[date | None]) -> list[date | None]:
     return sorted(months) + [None] * (None in periods)
 
 
-def refresh(store, periods: list[date | None], left: list[date | None]) -> None:
-    """Rewrites the campaigns' days of ``periods`` (those in ``left`` have rows) and the states of their months."""
+def refresh(store, elements: DataFrame, periods: list[date | None], left: list[date | None]) -> None:
+    """Rewrites the campaigns' days of ``periods``, whose ``elements`` hold (periods in ``left`` have rows), and the states of their months."""
     from .ingest import one_of, touched_periods
 
-    days = with_period(campaign_days(store.current(periods)), "report_date", store.unit)
+    days = with_period(campaign_days(elements), "report_date", store.unit)
     write_partitioned(days, store.path("campaign_days"), "period")
     store.drop_periods("campaign_days", [p for p in periods if p not in left])
     months = months_of(periods)

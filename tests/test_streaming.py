@@ -237,3 +237,20 @@ def test_daily_job_from_the_store_equals_the_job_over_all_elements(spark, tmp_pa
     for table in ("aggregates/daily", "aggregates/weekly", "aggregates/creative_metadata/parquet", "training/bid_optimization/latest"):
         a, b = (spark.read.parquet(str(tmp_path / name / table)) for name in ("whole", "store"))
         assert same(a, b), table
+
+
+def test_documents_that_come_once_are_not_shuffled(spark, tmp_path, elements):
+    rows = [("2024-12-01", h, f"k{c % 3}", f"c{c}", 100 * c, c, 0.5 * c, 1) for c in range(12) for h in (6, 12)]
+    docs = ingest.with_identity(raw.raw_documents(elements(rows)), "month")
+    docs.write.parquet(str(tmp_path / "once"))
+    once = spark.read.parquet(str(tmp_path / "once"))
+    assert "Exchange" not in ingest.each_once(once)._jdf.queryExecution().executedPlan().toString()
+    repeated = once.unionByName(once.filter("campaign_id = 'k1'"))
+    kept = ingest.each_once(repeated)
+    assert repeated.count() == 8 and kept.count() == 6
+    assert sorted(r.digest for r in kept.collect()) == sorted(r.digest for r in once.collect())
+    store = ingest.Store(spark, str(tmp_path / "store"), "month")
+    ingest.refresh(store, ingest.append_batch(store, raw.raw_documents(elements(rows)), 0))
+    # No version was replaced, so the elements are read as they are.
+    assert "Join" not in store.current()._jdf.queryExecution().executedPlan().toString()
+    assert store.current().count() == len(rows)
