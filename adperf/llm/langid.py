@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adperf.llm.common import id_fold, stored, whole_text
+from adperf.llm.common import id_fold, only_one, stored, whole_text
 
 GRAMS = 8192  # known n-grams; all are named by 32-bit hashes
 CENTROIDS = 3
@@ -31,14 +31,9 @@ REJECT, LOW, FEW = 0.5, 0.01, 50
 EDGES = (256, 512, 1024, 2048)
 SPACE = 32
 
-_letters: list[np.ndarray] = []
-
-
 def letters() -> np.ndarray:
-    """For each code point, whether it is a letter."""
-    if not _letters:
-        _letters.append(np.array([chr(c).isalpha() for c in range(0x110000)]))
-    return _letters[0]
+    """For each code point, whether it is a letter. A worker that makes it gives up the tables of an earlier stage."""
+    return only_one("letters", lambda: np.array([chr(c).isalpha() for c in range(0x110000)]))
 
 
 def frequencies(text: str) -> tuple[np.ndarray, np.ndarray] | None:

@@ -38,7 +38,7 @@ def words(text: str) -> list[str]:
 class KneserNey:
     """Log-likelihood ratios from the n-gram counts of both classes (orders SHARED + 1 to ORDER, ``^`` and ``$`` at word ends)."""
 
-    def __init__(self, toxic: dict[str, int], ordinary: dict[str, int], cache: int = 300_000):
+    def __init__(self, toxic: dict[str, int], ordinary: dict[str, int], cache: int = 100_000):
         self.counts = (ordinary, toxic)
         self.contexts = tuple(self._contexts(c) for c in self.counts)
         # Shared continuation counts: by how many different characters a shorter gram is preceded, over both classes.

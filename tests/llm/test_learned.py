@@ -6,7 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from adperf.llm import langid, queries, toxicity
+from adperf.llm import common, langid, queries, toxicity
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -119,3 +119,12 @@ def test_spherical_means(k):
     assert len(centres) <= k and np.allclose(np.linalg.norm(centres, axis=1), 1)
     if k == 3:
         assert (rows @ centres.T).max(axis=1).min() > 0.99
+
+
+def test_language_stage_gives_up_the_tables_of_the_stage_before():
+    model = toxicity.Model("one", {"^ab": 1, "ab$": 1}, {"^cd": 1, "cd$": 1}, 1.0)
+    model.score("ab")
+    assert ("toxicity", "one") in common._held
+    before = langid.frequencies("Wort für Wort")
+    assert ("toxicity", "one") not in common._held
+    assert all((a == b).all() for a, b in zip(before, langid.frequencies("Wort für Wort")))
