@@ -39,8 +39,8 @@ class Thresholds:
         )
 
 
-# Bytes of a shuffle that one task takes at least and, where rows may go to any task, at most. Advertising rows take some 50 times as much
-# in a sort buffer as compressed, so Spark's 64 MB would be spilled.
+# Bytes of a shuffle that one task takes at least and, where rows may go to any task, at most. Advertising rows take many times as much
+# in a sort buffer as compressed (50 times on repeated rows), so Spark's 64 MB would be spilled.
 SHARE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 

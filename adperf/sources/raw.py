@@ -298,7 +298,7 @@ def write_raw(documents: DataFrame, path: str, mode: str = "append", compression
     """One document per line below ``year=/month=/day=``; halves that are missing become ``{}``.
 
     The rebalance lets Spark split days that are large and merge days that are small. Most of a document is field names: with
-    ``compression`` (``gzip``) files take about a fortieth. One such file is read by one task, and the rebalance bounds its size.
+    ``compression`` (``gzip``) files are many times smaller. One such file is read by one task, and the rebalance bounds its size.
     """
     pulled = instant("pulled_at")
     halves = documents.withColumns(
