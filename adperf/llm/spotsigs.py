@@ -42,27 +42,30 @@ def signatures(text: Column) -> Column:
     them. A text without an anchor takes every word as an anchor, one without a word its whole characters; an empty
     text has no signature.
     """
-    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    glued = F.split(F.regexp_replace(plain, f"(?<![^ ])({_any_of(ANCHORS)}) ", "$1_"), " ")
+    # a-z and 0-9 are letters and digits too: named first, most characters need no look at their category
+    plain = F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9\p{L}\p{N}]+", " "))
+    glue = f"(?<![^ ])({_any_of(ANCHORS)}) "
 
-    def chains(of: Column) -> Column:
-        # of: array with one element, the words; each lambda variable is evaluated once
-        following = lambda t: F.slice(t, 2, F.greatest(F.size(t), F.lit(1)))
-        content = lambda w: F.coalesce(F.substring_index(w, "_", -1), F.lit(""))
-        joined = F.transform(of, lambda t: F.zip_with(t, following(t), lambda a, b: F.concat(a, F.lit(" "), content(b))))[0]
-        return F.filter(joined, lambda s: s.isNotNull())
+    def once(value: Column, of) -> Column:
+        # a lambda variable is evaluated once
+        return F.transform(F.array(value), of)[0]
 
     def expanded(chain: Column) -> Column:
-        split = F.transform(F.array(chain), lambda s: F.split(s, "_"))
-        return F.transform(split, lambda p: F.transform(F.slice(p, 1, F.size(p) - 1), lambda a: F.hash(a, F.element_at(p, -1))))[0]
-
-    chained = F.transform(F.array(chains(F.array(glued))), lambda all_chains: F.when(
-        F.exists(all_chains, lambda s: F.contains(s, F.lit("_"))),
-        F.flatten(F.transform(F.filter(all_chains, lambda s: F.contains(s, F.lit("_"))), expanded)),
-    ).otherwise(F.transform(all_chains, lambda s: F.hash(s))))[0]
-    return F.when(text == "", F.array().cast("array<int>")).when(plain == "", F.array(F.hash(text))).otherwise(
-        F.array_sort(F.array_distinct(chained))
-    )
+        return once(F.split(chain, "_"), lambda p: F.transform(F.slice(p, 1, F.size(p) - 1), lambda a: F.hash(a, F.element_at(p, -1))))
+
+    def chained(words: Column) -> Column:
+        following = F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))
+        content = lambda w: F.coalesce(F.substring_index(w, "_", -1), F.lit(""))
+        anchored = lambda w: F.contains(w, F.lit("_"))
+        chains = F.zip_with(words, following, lambda a, b: F.when(anchored(a), F.concat(a, F.lit(" "), content(b))))
+        every = F.zip_with(words, following, lambda a, b: F.hash(F.concat(a, F.lit(" "), content(b))))
+        return F.when(F.exists(words, anchored), F.flatten(F.transform(F.filter(chains, lambda s: s.isNotNull()), expanded))).otherwise(every)
+
+    def of_plain(p: Column) -> Column:
+        found = once(F.split(F.regexp_replace(p, glue, "$1_"), " "), chained)
+        return F.when(p == "", F.array(F.hash(text))).otherwise(F.array_sort(F.array_distinct(found)))
+
+    return F.when(text == "", F.array().cast("array<int>")).otherwise(once(plain, of_plain))
 
 
 def printed(found: Column) -> Column:
@@ -154,11 +157,14 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
 
     Classes are named by their smallest doc_id. Sets are partitioned by length so that only sets of one or of
     neighbouring partitions can be alike; inside these, two sets are compared only if they share one of their rarest
-    signatures, as many as a pair above the threshold cannot avoid sharing. Empty texts and NULL ids are left out. Of rows that
-    share an id the one whose fingerprint has the smallest digest counts.
+    signatures, as many as a pair above the threshold cannot avoid sharing, and so early in both that enough can follow.
+    Signatures of one set only are the rarest and lead to no pair: they take their places but are not kept. Empty texts and
+    NULL ids are left out. Of rows that share an id the one whose fingerprint has the smallest digest counts.
     """
-    found = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), signatures(whole_text(docs)).alias("signs"))
-    found = stored(found.filter(F.size("signs") > 0).withColumn("key", F.sha2(printed(F.col("signs")), 256)), "spot-found")
+    text = whole_text(docs)
+    # Only an empty text has no signature. A condition on the signatures would be pushed down and compute them twice.
+    found = docs.filter(F.col("doc_id").isNotNull() & (text != "")).select(F.col("doc_id").cast("long"), signatures(text).alias("signs"))
+    found = stored(found.withColumn("key", F.sha2(printed(F.col("signs")), 256)), "spot-found")
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("n_rows"), F.min("key").alias("first")).filter("n_rows > 1")
     repeated = stored(repeated, "spot-repeated")
     if not repeated.isEmpty():
@@ -166,24 +172,32 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
         found = stored(found.dropDuplicates(["doc_id"]), "spot-first")
     classes = stored(found.groupBy("key").agg(F.min("doc_id").alias("class")), "spot-classes")
     members = found.select("doc_id", "key").join(classes, "key").select("doc_id", "class")
-    one = found.join(classes, (found["key"] == classes["key"]) & (found["doc_id"] == classes["class"])).select("class", "signs")
-    one = stored(one.dropDuplicates(["class"]), "spot-sets")
+    one = found.join(classes, found["doc_id"] == classes["class"], "left_semi").select(F.col("doc_id").alias("class"), "signs")
+    one = stored(one, "spot-sets")
     each = one.select("class", F.size("signs").alias("n"), F.explode("signs").alias("sign"))
-    rarity = each.groupBy("sign").agg(F.count("*").alias("rarity"))
+    rarity = each.groupBy("sign").agg(F.count("*").alias("rarity")).filter("rarity > 1")
     # A set's group is as large as the set itself.
     ranked = each.join(rarity, "sign").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("rarity", "sign"))).alias("ranked"))
+    alone = F.col("n") - F.size("ranked")  # signatures of this set only
     shared = F.col("n") - F.ceil(F.col("n") * least).cast("int") + 1
     length = F.floor(F.log(F.col("n")) / math.log(1 / least) + 1e-9).cast("int")
-    index = ranked.select("class", "n", length.alias("length"), F.explode(F.slice("ranked", F.lit(1), shared)).alias("rare"))
-    index = stored(index.select("class", "n", "length", F.col("rare.sign").alias("sign")), "spot-index")
+    index = ranked.select("class", "n", length.alias("length"), alone.alias("alone"), F.posexplode(F.slice("ranked", F.lit(1), F.greatest(shared - alone, F.lit(0)))))
+    # rest: signatures from this one on, in the order of all sets
+    index = index.select("class", "n", "length", (F.col("n") - F.col("alone") - F.col("pos")).alias("rest"), F.col("col.sign").alias("sign"))
+    index = stored(index, "spot-index")
     # The shorter set (of equal lengths, the smaller name) looks into its own partition and the next.
-    left = index.select(F.col("class").alias("a"), F.col("n").alias("n_a"), "sign", F.explode(F.array("length", F.col("length") + 1)).alias("length"))
-    right = index.select(F.col("class").alias("b"), F.col("n").alias("n_b"), "sign", "length")
+    left = index.select(
+        F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"), "sign", F.explode(F.array("length", F.col("length") + 1)).alias("length")
+    )
+    right = index.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), "sign", "length")
     ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    pairs = left.join(right, ["sign", "length"]).filter(ordered & (F.col("n_a") >= F.col("n_b") * least)).select("a", "b").distinct()
+    # From the first signature that a pair shares, both sets have all that they share.
+    enough = F.least("rest_a", "rest_b") * (1 + least) >= (F.col("n_a") + F.col("n_b")) * least - 1e-6
+    pairs = left.join(right, ["sign", "length"]).filter(ordered & (F.col("n_a") >= F.col("n_b") * least) & enough).select("a", "b").distinct()
     pairs = pairs.join(one.select(F.col("class").alias("a"), F.col("signs").alias("x")), "a").join(one.select(F.col("class").alias("b"), F.col("signs").alias("y")), "b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likeness(F.col("x"), F.col("y"), least).alias("likeness"))
-    return pairs.filter(F.col("likeness") >= least), members
+    compared = F.struct(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), likeness(F.col("x"), F.col("y"), least).alias("likeness"))
+    # filtered inside an array: a condition pushed down would compare each pair twice
+    return pairs.select(F.inline(F.filter(F.array(compared), lambda p: p["likeness"] >= least))), members
 
 
 def near_documents(docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -194,10 +208,9 @@ def near_documents(docs: DataFrame, least: float = 0.8) -> DataFrame:
     own without links; rows without doc_id are left out; an empty table gives no rows, other columns are ignored.
     """
     pairs, members = near_pairs(docs, least)
-    both = pairs.select("a", "b", "likeness").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "likeness"))
-    links = both.groupBy(F.col("a").alias("class")).agg(
-        F.count("*").alias("n_links"), F.max(F.struct("likeness", (-F.col("b")).alias("other"))).alias("best")
-    )
+    # each pair twice, from one comparison
+    both = pairs.select(F.inline(F.array(*(F.struct(F.col(x).alias("class"), F.col(y).alias("other"), "likeness") for x, y in ("ab", "ba")))))
+    links = both.groupBy("class").agg(F.count("*").alias("n_links"), F.max(F.struct("likeness", (-F.col("other")).alias("other"))).alias("best"))
     empty = docs.filter(F.col("doc_id").isNotNull()).filter(whole_text(docs) == "").select(F.col("doc_id").cast("long").alias("doc_id"))
     without = empty.distinct().join(members, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class"))
     found = members.unionByName(without).join(links, "class", "left")

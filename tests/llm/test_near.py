@@ -301,6 +301,24 @@ def test_near_documents_with_repeated_ids_and_without_texts(spark):
     assert spotsigs.near_documents(docs.limit(0)).count() == 0
 
 
+def test_near_documents_makes_signatures_once_and_keeps_shared_ones(spark, small, monkeypatch):
+    written = {}
+
+    def watched(df, name):
+        written[name] = df, common.stored(df, name)
+        return written[name][1]
+
+    monkeypatch.setattr(spotsigs, "stored", watched)
+    copies = spark.createDataFrame([(10_000 + i, t) for i, (_, t) in enumerate(near_copies(12))], "doc_id long, text string")
+    spotsigs.near_documents(copies).count()
+    sets, index = written["spot-sets"][1], written["spot-index"][1]
+    often = sets.select(F.explode("signs").alias("sign")).groupBy("sign").count()
+    assert index.count() and index.join(often, "sign").filter("count < 2").isEmpty()
+    spotsigs.near_documents(small("documents")).count()
+    plan = written["spot-found"][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(lower(") == 1
+
+
 def test_ring_of_sparse_ids(spark):
     rnd = random.Random(9)
     ids = sorted({rnd.randint(-(1 << 62), 1 << 62) for _ in range(200)} | {0, -1, 8191, 8192, (1 << 63) - 1, -(1 << 63)}, reverse=True)
