@@ -209,11 +209,16 @@ def element_day(which: str) -> Column:
     return F.try_to_date(F.concat_ws("-", d["year"], d["month"], d["day"]), "y-M-d")
 
 
-def explode_elements(raw: DataFrame, *kept: str) -> DataFrame:
-    """One row per element of every document, with the document's columns ``kept``; documents without elements give no rows."""
+def explode_elements(raw: DataFrame, *kept: str, numbered: bool = False) -> DataFrame:
+    """One row per element of every document, with the document's columns ``kept``; documents without elements give no rows.
+
+    With ``numbered`` rows have their ``place`` in the document, and a document without elements gives one row without a place.
+    """
     config = "campaign_config"
     part = F.col("part") if "part" in raw.columns else F.lit(None).cast("int").alias("part")
-    rows = raw.select("pulled_at", "campaign_id", config, part, *kept, F.explode("analytics.elements").alias("elem"))
+    found = "analytics.elements"
+    elem = F.posexplode_outer(found).alias("place", "elem") if numbered else F.explode(found).alias("elem")
+    rows = raw.select("pulled_at", "campaign_id", config, part, *kept, elem)
     pulled = instant("pulled_at")
     return rows.select(
         F.to_date(pulled).alias("report_date"),
@@ -234,6 +239,7 @@ def explode_elements(raw: DataFrame, *kept: str) -> DataFrame:
         "part",
         "pulled_at",
         *kept,
+        *["place"] * numbered,
     )
 
 

@@ -27,7 +27,10 @@ DELIVERIES_SCHEMA = (
     "pull string, digest string, delivered timestamp, origin string, campaign_id string, pulled_at string, part int, "
     "run_at string, elements int, has_analytics boolean, has_config boolean, period date, batch_id bigint"
 )
-REJECTS_SCHEMA = "digest string, reason string, text string, origin string, delivered timestamp, batch_id bigint"
+REJECTS_SCHEMA = "digest string, reason string, piece int, text string, origin string, delivered timestamp, batch_id bigint"
+
+# Bytes of an unreadable text that one stored row has at most.
+PIECE = 16384
 
 
 class Store:
@@ -58,8 +61,11 @@ class Store:
 
     def rejects(self) -> DataFrame:
         """Texts that could not be read, each once: reason, first delivery, and in how many batches it came."""
-        rows = self._read("rejects", REJECTS_SCHEMA).groupBy("digest", "reason", "text")
-        return rows.agg(F.min("delivered").alias("delivered"), F.min("origin").alias("origin"), F.count("*").alias("batches"))
+        pieces = self._read("rejects", REJECTS_SCHEMA).groupBy("digest", "reason", "batch_id")
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("piece", "text"))), lambda p: p["text"])
+        sent = [F.min("delivered").alias("delivered"), F.min("origin").alias("origin")]
+        rows = pieces.agg(*sent, F.array_join(ordered, "").alias("text"))
+        return rows.groupBy("digest", "reason", "text").agg(*sent, F.count("*").alias("batches"))
 
     def pulls(self, periods: list[date | None] | None = None) -> DataFrame:
         """The version that holds of every pull, or of every pull of ``periods``: the one delivered last, of two at one time the
@@ -108,20 +114,27 @@ def one_of(column: str, days: list[date | None]) -> Column:
 
 
 def noted(digests: DataFrame) -> DataFrame | None:
-    """Distinct digests written once, None if there are none. What joins them with documents or elements knows their size before it
-    starts, so the larger side is shuffled only where the digests are too many to be sent to every task."""
+    """Distinct digests, or numbers of documents, written once; None if there are none. What joins them with documents or elements knows
+    their size before it starts, so the larger side is shuffled only where they are too many to be sent to every task."""
     path = shared_dir(digests.sparkSession, "digests")
     digests.write.parquet(path)
-    kept = digests.sparkSession.read.schema("digest string").parquet(path)
+    kept = digests.sparkSession.read.schema(digests.schema).parquet(path)
     return None if kept.isEmpty() else kept
 
 
 def without(rows: DataFrame, digests: DataFrame | None) -> DataFrame:
-    return rows if digests is None else rows.join(digests, "digest", "left_anti")
+    return rows if digests is None else rows.join(digests, digests.columns, "left_anti")
+
 
+def each_once(documents: DataFrame, heads: DataFrame | None = None) -> DataFrame:
+    """One document of each digest; only documents that come more than once are compared as a whole.
 
-def each_once(documents: DataFrame) -> DataFrame:
-    """One document of each digest; only documents that come more than once are compared as a whole."""
+    Documents of several rows each, numbered by ``copy``, need their ``heads``, one row (``digest``, ``copy``) per document: the
+    document of the smallest number stays, and no more than heads are compared.
+    """
+    if heads is not None:
+        first = heads.groupBy("digest").agg(F.min("copy").alias("first"), F.count("*").alias("n")).filter("n > 1")
+        return without(documents, noted(heads.join(first, "digest").filter("copy <> first").select("copy")))
     again = noted(documents.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
     if again is None:
         return documents
@@ -184,6 +197,44 @@ def with_identity(documents: DataFrame, unit: str) -> DataFrame:
     return rows.withColumns({"pull": F.when(known, named).otherwise(F.col("digest")), "period": period_of(F.to_date(pulled), unit)})
 
 
+def staged_rows(documents: DataFrame, unit: str) -> DataFrame:
+    """Documents as rows of bounded size, whatever a document's: a row per element, per piece of an unreadable text, or for all of a
+    document without elements.
+
+    A reader of nested columns holds thousands of rows at once, so whole documents would need memory by their size. ``copy`` numbers the
+    documents, ``head`` describes one in its first row, ``reject`` is a piece of a text that could not be read, and
+    ``place`` that of an element. The other columns are the element's.
+    """
+    docs = with_identity(documents, unit).withColumn("copy", F.monotonically_increasing_id())
+    bad = F.col(CORRUPT).isNotNull()
+
+    def cut(text: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.octet_length(text) - 1, F.lit(0)), F.lit(PIECE))
+        return F.transform(starts, lambda i: F.substring(text, i + 1, F.lit(PIECE)))
+
+    # The text is bound once, as an array of one, since a cast of its own for each piece would copy all of it. Pieces are cut
+    # by bytes, so that joining them gives any text back as it was.
+    pieces = F.flatten(F.transform(F.array(F.col(CORRUPT).cast("binary")), cut))
+    head = F.struct(
+        bad.alias("rejected"), "pull", "campaign_id", "pulled_at", "part", F.col("date_range.end").alias("run_at"),
+        F.coalesce(F.size("analytics.elements"), F.lit(0)).alias("elements"),
+        F.col("analytics.elements").isNotNull().alias("has_analytics"), F.col("campaign_config.id").isNotNull().alias("has_config"),
+        "period", "origin", "delivered",
+    )
+    # Before the rows are made, so that a document is described and its text looked into once, not once a row.
+    docs = docs.select(
+        "copy", "digest", "pulled_at", "campaign_id", "campaign_config", "part", "origin", "delivered", head.alias("head"),
+        F.when(~bad, F.col("analytics")).alias("analytics"), F.when(bad, reject_reason(CORRUPT)).alias("reason"),
+        F.when(bad, pieces).alias("pieces"),
+    )
+    docs = docs.select("*", F.posexplode_outer("pieces").alias("piece", "text")).drop("pieces")
+    reject = F.struct("reason", "piece", F.col("text").cast("string").alias("text"), "origin", "delivered")
+    docs = docs.withColumn("reject", F.when(F.col("reason").isNotNull(), reject))
+    rows = explode_elements(docs, "copy", "digest", "head", "reject", numbered=True)
+    first = (F.coalesce("place", F.lit(0)) == 0) & (F.coalesce("reject.piece", F.lit(0)) == 0)
+    return rows.withColumn("head", F.when(first, F.col("head")))
+
+
 def _write_batch(rows: DataFrame, path: str, key: int, *partitions: str) -> None:
     """Replaces the batch's own partitions."""
     rows = rows.withColumn("batch_id", F.lit(key).cast("bigint"))
@@ -205,34 +256,30 @@ def append_batch(store: Store, documents: DataFrame, batch_id: int) -> list[date
     elements of other batches only. A document whose time cannot be read is kept, with the NULL period as its partition. One batch is
     added at a time.
     """
-    parsed = with_identity(documents, store.unit)
+    parsed = staged_rows(documents, store.unit)
     staging = f"{store.path('staging')}/batch={batch_id}"
     parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)
     staged = store.spark.read.schema(parsed.schema).parquet(staging)
-    key = staged.select("digest").distinct().agg(F.bit_xor(F.xxhash64("digest"))).first()[0]
+    heads = staged.filter("head IS NOT NULL").select("copy", "digest", "head.*")
+    key = heads.select("digest").distinct().agg(F.bit_xor(F.xxhash64("digest"))).first()[0]
     if key is None:
         return []
-    bad = staged.filter(F.col(CORRUPT).isNotNull())
-    bad = bad.select("digest", reject_reason(CORRUPT).alias("reason"), F.col(CORRUPT).alias("text"), "origin", "delivered")
-    _write_batch(bad.dropDuplicates(["digest"]), store.path("rejects"), key)
-    good = staged.filter(F.col(CORRUPT).isNull())
+    bad = staged.filter("reject IS NOT NULL").select("copy", "digest", "reject.*")
+    _write_batch(each_once(bad, heads.filter("rejected")).drop("copy"), store.path("rejects"), key)
+    good = heads.filter("NOT rejected")
     periods = touched_periods(good)
     if not periods:
         return []
     last = good.groupBy("digest").agg(F.max("delivered").alias("delivered"), F.min("origin").alias("origin"))
-    described = good.select(
-        "pull", "digest", "campaign_id", "pulled_at", "part", F.col("date_range.end").alias("run_at"),
-        F.coalesce(F.size("analytics.elements"), F.lit(0)).alias("elements"),
-        F.col("analytics.elements").isNotNull().alias("has_analytics"), F.col("campaign_config.id").isNotNull().alias("has_config"), "period",
-    )
-    sent = described.dropDuplicates(["digest"]).join(last, "digest")  # equal digests are equal documents
-    sent = sent.select("pull", "digest", "delivered", "origin", *described.columns[2:])
+    described = good.drop("copy", "rejected", "origin", "delivered").dropDuplicates(["digest"])  # equal digests are equal documents
+    sent = described.join(last, "digest").select("pull", "digest", "delivered", "origin", *described.columns[2:])
     columns = [*ELEMENT_COLUMNS, "element_date", "content", "part", "pulled_at", "digest"]
-    fresh = good
+    rows = staged.filter("place IS NOT NULL").select("copy", *columns)
     if store.exists("elements"):
         others = store.elements().filter(one_of("period", periods) & (F.col("batch_id") != key)).select("digest").distinct()
-        fresh = without(good, noted(good.select("digest").distinct().join(others, "digest", "left_semi")))
-    rows = with_period(explode_elements(each_once(fresh), "digest"), "report_date", store.unit).select(*columns, "period")
+        stored = noted(good.select("copy", "digest").join(others, "digest", "left_semi").select("copy"))
+        rows, good = without(rows, stored), without(good, stored)
+    rows = with_period(each_once(rows, good), "report_date", store.unit)
     _write_batch(rows.select(*columns, "period"), store.path("elements"), key, "period")
     # Last, so that a version holds only once its elements are stored.
     _write_batch(sent, store.path("deliveries"), key, "period")

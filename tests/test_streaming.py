@@ -254,3 +254,35 @@ def test_documents_that_come_once_are_not_shuffled(spark, tmp_path, elements):
     # No version was replaced, so the elements are read as they are.
     assert "Join" not in store.current()._jdf.queryExecution().executedPlan().toString()
     assert store.current().count() == len(rows)
+
+
+def test_staged_rows_are_bounded(spark, tmp_path):
+    """No staged or stored row grows with a document or with a text that cannot be read, and texts come back whole, byte by byte."""
+    from pyspark.sql import types as T
+
+    def listed(dtype):
+        if isinstance(dtype, T.StructType):
+            return any(listed(f.dataType) for f in dtype.fields)
+        return isinstance(dtype, (T.ArrayType, T.MapType))
+
+    many = [element(f"c{i}", clicks=i) for i in range(5000)]
+    cut = '{"pulled_at": "' + "aé€😀" * 20_000  # pieces end within characters
+    mistyped = json.dumps(document("2024-11-30T06:00:00", elements=[*many, element(impressions="many")]))
+    texts = [json.dumps(document("2024-11-29T06:00:00", elements=many)), json.dumps(document("2024-11-29T12:00:00", elements=[])), cut, mistyped]
+    source = tmp_path / "raw"
+    source.mkdir()
+    bad = cut.encode() + b"\xff\xfe"  # no UTF-8
+    (source / "a.json").write_bytes(b"\n".join([*(t.encode() for t in texts), *(t.encode() for t in texts), bad]))
+    store = ingest.Store(spark, str(tmp_path / "store"), "month")
+    ingest.run_ingest(store, str(source), str(tmp_path / "p1"), multi_line=False)
+    ingest.run_ingest(store, str(source), str(tmp_path / "p2"), multi_line=False)  # the same batch once more
+    staged = spark.read.parquet(store.path("staging"))
+    assert not any(listed(f.dataType) for f in staged.schema.fields)
+    assert staged.count() > 2 * len(many)
+    for rows, text in ((staged, "reject.text"), (spark.read.parquet(store.path("rejects")), "text")):
+        assert rows.agg(F.max(F.octet_length(text))).first()[0] <= ingest.PIECE
+    assert store.elements().count() == len(many) and store.elements().agg(F.sum("clicks")).first()[0] == sum(range(5000))
+    assert sorted((r.elements, r.has_analytics) for r in store.deliveries().collect()) == [(0, True), (5000, True)]
+    found = store.rejects().select("reason", F.col("text").cast("binary").alias("text"), "batches").collect()
+    expected = [("mistyped", mistyped.encode(), 1), ("unparsable", cut.encode(), 1), ("unparsable", bad, 1)]
+    assert sorted((r.reason, bytes(r.text), r.batches) for r in found) == sorted(expected)
