@@ -286,3 +286,26 @@ def test_staged_rows_are_bounded(spark, tmp_path):
     found = store.rejects().select("reason", F.col("text").cast("binary").alias("text"), "batches").collect()
     expected = [("mistyped", mistyped.encode(), 1), ("unparsable", cut.encode(), 1), ("unparsable", bad, 1)]
     assert sorted((r.reason, bytes(r.text), r.batches) for r in found) == sorted(expected)
+
+
+def test_undated_documents_that_repeat_are_left_out_by_number(spark, tmp_path):
+    """Of documents without a readable time that come twice, in one batch and in the next, each element is kept once, without a shuffle."""
+    docs = [document("n/a", elements=[element(f"c{i}", clicks=i) for i in range(3)]), document("2024-11-29T06:00:00", elements=[element()])]
+
+    def batch(*numbers):
+        lines = spark.createDataFrame([(json.dumps(docs[i]),) for i in numbers], "text string")
+        return lines.select(F.from_json("text", raw.RAW).alias("d")).select("d.*")
+
+    path = str(tmp_path / "rows")
+    ingest.staged_rows(batch(0, 1, 0, 0), "month").write.parquet(path)
+    rows = spark.read.parquet(path)
+    heads = rows.filter("head IS NOT NULL").select("copy", "digest", "head.*")
+    assert sorted(heads.select("elements", F.col("period").isNull()).collect()) == [(1, False), (3, True), (3, True), (3, True)]
+    kept = ingest.each_once(rows, heads)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r.creative_id for r in kept.collect()) == ["c0", "c1", "c1", "c2"]
+    store = ingest.Store(spark, str(tmp_path / "store"), "month")
+    for i, numbers in enumerate([(0, 1, 0, 0), (1, 0)]):
+        ingest.refresh(store, ingest.append_batch(store, batch(*numbers), i))
+    assert store.elements().count() == 4 and store.current().filter("period IS NULL").agg(F.sum("clicks")).first()[0] == 3
